@@ -6,8 +6,7 @@ accuracy of a few nanometers", 2011), so no iteration and no Python worker is in
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,7 +17,10 @@ SCALE_FACTOR = 0.9996
 FALSE_EASTING = 500000.0
 FALSE_NORTHING_SOUTH = 10000000.0
 
-# EPSG ranges whose last two digits are the zone: ETRS89 north, WGS84 north, WGS84 south.
+# Codes already in degrees (ETRS89 is taken as equal to WGS84).
+GEOGRAPHIC_EPSG = (4326, 4258)
+
+# EPSG ranges whose last two digits are the zone: ETRS89 north, WGS84 north, WGS84 south.
 _UTM_EPSG = ((25800, False), (32600, False), (32700, True))
 
 
@@ -61,28 +63,40 @@ def central_meridian(zone: int) -> float:
     return 6.0 * zone - 183.0
 
 
-def utm_to_wgs84(x: Column, y: Column, zone: int = 30, south: bool = False) -> tuple[Column, Column]:
-    """(longitude, latitude) in degrees of one easting/northing pair."""
+def _inverse(x, y, zone: int, south: bool, m):
+    """(longitude, latitude) in degrees; ``m`` supplies the functions: Spark's for Columns, numpy for arrays."""
     beta, delta = inverse_series()
     k = SCALE_FACTOR * rectifying_radius()
-    xi = (y - F.lit(FALSE_NORTHING_SOUTH if south else 0.0)) / F.lit(k)
-    eta = (x - F.lit(FALSE_EASTING)) / F.lit(k)
+    xi = (y - (FALSE_NORTHING_SOUTH if south else 0.0)) / k
+    eta = (x - FALSE_EASTING) / k
     xi_s, eta_s = xi, eta
     for j, b in enumerate(beta, 1):
-        m = F.lit(2.0 * j)
-        xi_s = xi_s - F.lit(b) * F.sin(m * xi) * F.cosh(m * eta)
-        eta_s = eta_s - F.lit(b) * F.cos(m * xi) * F.sinh(m * eta)
-    chi = F.asin(F.sin(xi_s) / F.cosh(eta_s))
+        xi_s = xi_s - m.sin(xi * (2.0 * j)) * m.cosh(eta * (2.0 * j)) * b
+        eta_s = eta_s - m.cos(xi * (2.0 * j)) * m.sinh(eta * (2.0 * j)) * b
+    chi = m.asin(m.sin(xi_s) / m.cosh(eta_s))
     lat = chi
     for j, d in enumerate(delta, 1):
-        lat = lat + F.lit(d) * F.sin(F.lit(2.0 * j) * chi)
-    lon = F.lit(central_meridian(zone)) + F.degrees(F.atan2(F.sinh(eta_s), F.cos(xi_s)))
-    return lon, F.degrees(lat)
+        lat = lat + m.sin(chi * (2.0 * j)) * d
+    lon = m.degrees(m.atan2(m.sinh(eta_s), m.cos(xi_s))) + central_meridian(zone)
+    return lon, m.degrees(lat)
+
+
+def utm_to_wgs84(x: Column, y: Column, zone: int = 30, south: bool = False) -> tuple[Column, Column]:
+    """(longitude, latitude) in degrees of one easting/northing pair, native."""
+    return _inverse(x, y, zone, south, F)
+
+
+def arrays_to_wgs84(x: np.ndarray, y: np.ndarray, epsg: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same series over coordinate arrays, for geometry that is already in a Python worker."""
+    if epsg in GEOGRAPHIC_EPSG:
+        return x, y
+    zone, south = utm_zone(epsg)
+    return _inverse(x, y, zone, south, np)
 
 
 def to_wgs84(x: Column, y: Column, epsg: int) -> tuple[Column, Column]:
     """Longitude/latitude from any supported code; geographic codes pass through."""
-    if epsg in (4326, 4258):
+    if epsg in GEOGRAPHIC_EPSG:
         return x, y
     zone, south = utm_zone(epsg)
     return utm_to_wgs84(x, y, zone, south)

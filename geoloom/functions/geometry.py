@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from geoloom.functions import wkb as W
+from geoloom.functions.crs import arrays_to_wgs84
 
 BBOX_NAMES = ("xmin", "ymin", "xmax", "ymax")
 BBOX_TYPE = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
@@ -24,19 +25,48 @@ TYPE_CODES = {
 }
 
 
-@F.arrow_udf(BBOX_TYPE)
-def wkb_bbox(geom: pa.Array) -> pa.Array:
-    """Bounds of every geometry; null for null, empty or unreadable values."""
-    rows, box = W.bounds(W.read_wkb(geom))
-    full = np.zeros((len(geom), 4))
+def _bbox_array(c: W.Coordinates) -> pa.Array:
+    rows, box = W.bounds(c)
+    n = len(c.kind)
+    full = np.zeros((n, 4))
     full[rows] = box
-    missing = np.ones(len(geom), bool)
+    missing = np.ones(n, bool)
     missing[rows] = False
     return pa.StructArray.from_arrays(
         [pa.array(full[:, i]) for i in range(4)], list(BBOX_NAMES), mask=pa.array(missing)
     )
 
 
+@F.arrow_udf(BBOX_TYPE)
+def wkb_bbox(geom: pa.Array) -> pa.Array:
+    """Bounds of every geometry; null for null, empty or unreadable values."""
+    return _bbox_array(W.read_wkb(geom))
+
+
+def wgs84_bbox(epsg: int):
+    """Arrow function ``geom -> bounds`` of the geometry after every vertex is re-projected."""
+
+    @F.arrow_udf(BBOX_TYPE)
+    def bounds(geom: pa.Array) -> pa.Array:
+        c = W.read_wkb(geom)
+        c.x, c.y = arrays_to_wgs84(c.x, c.y, epsg)
+        return _bbox_array(c)
+
+    return bounds
+
+
+def reproject_wkb(epsg: int):
+    """Arrow function ``geom -> geom`` from a supported code to longitude/latitude, vertex by vertex."""
+
+    @F.arrow_udf("binary")
+    def project(geom: pa.Array) -> pa.Array:
+        c = W.read_wkb(geom)
+        c.x, c.y = arrays_to_wgs84(c.x, c.y, epsg)
+        return W.write_wkb(c.kind, W.nested_parts(c))
+
+    return project
+
+
 @F.arrow_udf(PARTS_TYPE)
 def wkb_parts(geom: pa.Array) -> pa.Array:
     """Nested coordinates of every geometry; null for null or unreadable values."""
