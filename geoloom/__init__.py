@@ -9,3 +9,10 @@ sub-packages are
 * ``plans``      - whole jobs put together from operators,
 * ``streaming``  - the same jobs run incrementally over a landing folder.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Arrow functions travel to the executors with their code, so a job needs no package installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,9 +7,12 @@ import struct
 
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 STRING_BOUND_CHARS = 32
-ENCODED_TYPE = "struct<bytes:binary,ok:boolean,exact:boolean>"
+ENCODED_TYPE = T.StructType(
+    [T.StructField("bytes", T.BinaryType()), T.StructField("ok", T.BooleanType()), T.StructField("exact", T.BooleanType())]
+)
 
 # Byte layout per published type, little-endian.
 _LAYOUT = {"int": "<i", "long": "<q", "float": "<f", "double": "<d", "boolean": "<?"}

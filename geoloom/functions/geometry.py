@@ -6,13 +6,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoloom.functions import wkb as W
 from geoloom.functions.crs import arrays_to_wgs84
 
 BBOX_NAMES = ("xmin", "ymin", "xmax", "ymax")
-BBOX_TYPE = "struct<xmin:double,ymin:double,xmax:double,ymax:double>"
-PARTS_TYPE = "array<array<array<struct<x:double,y:double>>>>"
+BBOX_TYPE = T.StructType([T.StructField(n, T.DoubleType()) for n in BBOX_NAMES])
+_POINT_TYPE = T.StructType([T.StructField(n, T.DoubleType()) for n in "xy"])
+PARTS_TYPE = T.ArrayType(T.ArrayType(T.ArrayType(_POINT_TYPE)))
 
 # GeoJSON type names and their WKB codes.
 TYPE_CODES = {
@@ -58,7 +60,7 @@ def wgs84_bbox(epsg: int):
 def reproject_wkb(epsg: int):
     """Arrow function ``geom -> geom`` from a supported code to longitude/latitude, vertex by vertex."""
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf(T.BinaryType())
     def project(geom: pa.Array) -> pa.Array:
         c = W.read_wkb(geom)
         c.x, c.y = arrays_to_wgs84(c.x, c.y, epsg)
@@ -73,7 +75,7 @@ def wkb_parts(geom: pa.Array) -> pa.Array:
     return W.nested_parts(W.read_wkb(geom))
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def parts_to_wkb(code: pa.Array, parts: pa.Array) -> pa.Array:
     """WKB of nested coordinates and a type code."""
     kinds = np.asarray(code.fill_null(0)).astype(np.int32)
@@ -84,7 +86,7 @@ def intersects_polygon(polygons: list[list[list[tuple[float, float]]]]):
     """Arrow function ``geom -> boolean``: exact test against one query (multi)polygon."""
     query = W.QueryPolygon(polygons)
 
-    @F.arrow_udf("boolean")
+    @F.arrow_udf(T.BooleanType())
     def test(geom: pa.Array) -> pa.Array:
         return pa.array(query.intersects(W.read_wkb(geom)))
 

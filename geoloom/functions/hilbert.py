@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def hilbert_index(x: np.ndarray, y: np.ndarray, bits: int) -> np.ndarray:
@@ -35,7 +36,7 @@ def hilbert_key(extent: tuple[float, float, float, float], bits: int = 16):
         span = (hi - lo) or 1.0
         return np.clip(np.nan_to_num((a - lo) / span * cells), 0, cells)
 
-    @F.arrow_udf("bigint")
+    @F.arrow_udf(T.LongType())
     def key(x: pa.Array, y: pa.Array) -> pa.Array:
         known = np.asarray(x.is_valid()) & np.asarray(y.is_valid())
         return pa.array(hilbert_index(scale(x, x0, x1), scale(y, y0, y1), bits), mask=~known)

@@ -54,6 +54,55 @@ def blob_text(value: Column) -> Column:
     return F.when(F.length(value) > 0, body).when(value.isNotNull(), F.lit(""))
 
 
+def number_text(value: Column) -> Column:
+    """Floating-point text with plain digits from 1e-4 up to 1e16 and a two-digit exponent beyond."""
+    text = value.cast("string")
+    form = "^(-?)(\\d)\\.(\\d+)E(-?\\d+)$"
+    sign, head, tail = (F.regexp_extract(text, form, i) for i in (1, 2, 3))
+    tail = F.when(tail == "0", "").otherwise(tail)
+    power = F.try_to_number(F.regexp_extract(text, form, 4), F.lit("S999")).cast("int")
+    digits = F.concat(head, tail)
+    zeros = F.lit("0")
+    small = F.concat(sign, F.lit("0."), F.repeat(zeros, -power - 1), digits)
+    whole = F.concat(sign, F.rpad(digits, power + 1, "0"), F.lit(".0"))
+    mixed = F.concat(sign, F.substr(digits, F.lit(1), power + 1), F.lit("."), F.substr(digits, power + 2))
+    exponent = F.concat(F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    far = F.concat(sign, head, F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)), F.lit("e"), exponent)
+    return (
+        F.when(text == "Infinity", "inf")
+        .when(text == "-Infinity", "-inf")
+        .when(text == "NaN", "nan")
+        .when(~text.contains("E"), text)
+        .when(power.between(-4, -1), small)
+        .when(power.between(0, 15), F.when(F.length(digits) <= power + 1, whole).otherwise(mixed))
+        .otherwise(far)
+    )
+
+
+def value_text(value: Column, kind: T.DataType) -> Column:
+    """Text of any value: lists as ``[a, b]``, structs as ``{'name': value}``, maps as ``{key=value}``."""
+
+    def inner(v: Column, t: T.DataType) -> Column:
+        return F.coalesce(value_text(v, t), F.lit("NULL"))
+
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return number_text(value)
+    if isinstance(kind, T.BinaryType):
+        return blob_text(value)
+    if isinstance(kind, T.ArrayType):
+        return F.concat(F.lit("["), F.array_join(F.transform(value, lambda v: inner(v, kind.elementType)), ", "), F.lit("]"))
+    if isinstance(kind, T.StructType):
+        pairs = [F.concat(F.lit(f"'{f.name}': "), inner(value[f.name], f.dataType)) for f in kind.fields]
+        return F.when(value.isNotNull(), F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}")))
+    if isinstance(kind, T.MapType):
+        pairs = F.transform(
+            F.map_entries(value),
+            lambda e: F.concat(inner(e.key, kind.keyType), F.lit("="), inner(e.value, kind.valueType)),
+        )
+        return F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}"))
+    return value.cast("string")
+
+
 def coerce_types(df: DataFrame, profile: str = "strict", keep: tuple[str, ...] = ("geom",)) -> DataFrame:
     """Bring every column to a published type.
 
@@ -70,10 +119,10 @@ def coerce_types(df: DataFrame, profile: str = "strict", keep: tuple[str, ...] =
             out.append((field.name, None))
         elif profile == "broad" and kind in _SMALL_INTS:
             out.append((field.name, source.cast("int")))
-        elif kind is T.BinaryType:
-            out.append((field.name, None if profile == "broad" else blob_text(source)))
+        elif kind is T.BinaryType and profile == "broad":
+            out.append((field.name, None))
         else:
-            out.append((field.name, source.cast("string")))
+            out.append((field.name, value_text(source, field.dataType)))
     return _rebuild(df, out)
 
 
@@ -92,15 +141,13 @@ def temporals_to_string(df: DataFrame, style: str = "short") -> DataFrame:
 
 
 def lowercase(names: list[str]) -> list[str]:
-    """Lower-case names; a clash gets the count of names so far as suffix, raised until it is unused."""
+    """Lower-case names; a clash gets the count of names so far as suffix, again until it is unused."""
     seen: set[str] = set()
     out = []
     for name in names:
-        low = candidate = name.lower()
-        number = len(seen)
+        candidate = name.lower()
         while candidate in seen:
-            candidate = f"{low}_{number}"
-            number += 1
+            candidate = f"{candidate}_{len(seen)}"
         seen.add(candidate)
         out.append(candidate)
     return out
