@@ -105,3 +105,11 @@ def to_wgs84(x: Column, y: Column, epsg: int) -> tuple[Column, Column]:
 def planar_distance(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     """Distance in the units of the native CRS."""
     return F.hypot(ax - bx, ay - by)
+
+
+def domain(epsg: int) -> tuple[float, float, float, float]:
+    """Box that holds every coordinate of a code. A curve over it is the same for every dataset and batch."""
+    if epsg in GEOGRAPHIC_EPSG:
+        return -180.0, -90.0, 180.0, 90.0
+    utm_zone(epsg)
+    return 0.0, 0.0, 1_000_000.0, FALSE_NORTHING_SOUTH

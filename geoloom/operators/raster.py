@@ -48,21 +48,14 @@ def overviews(cells: DataFrame, levels: int | None = None, size: int = 512) -> D
         empty = cells.limit(0)
         return empty.select("layer", F.lit(0).alias("level"), "col", "row", "value")
     both = F.col("col").bitwiseOR(F.col("row"))
-    steps = F.filter(F.sequence(F.lit(1), F.lit(levels)), lambda k: F.pmod(both, _two_to(k)) == 0)
+    trailing_zeros = F.bit_count(both.bitwiseAND(-both) - 1)
     on_grid = cells.filter(F.pmod(both, F.lit(2)) == 0)
-    coarse = on_grid.withColumn("level", F.explode(steps))
-    scale = _two_to(F.col("level"))
-    return coarse.select(
-        "layer",
-        "level",
-        F.floor(F.col("col") / scale).cast("bigint").alias("col"),
-        F.floor(F.col("row") / scale).cast("bigint").alias("row"),
-        "value",
-    )
+    coarse = on_grid.withColumn("level", F.explode(F.sequence(F.lit(1), F.least(F.lit(levels), trailing_zeros))))
 
+    def halved(name: str) -> Column:
+        return F.call_function("shiftright", F.col(name), F.col("level")).alias(name)
 
-def _two_to(k: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), k.cast("int"))
+    return coarse.select("layer", "level", halved("col"), halved("row"), "value")
 
 
 def raster_extent(rasters: DataFrame, epsg: int) -> DataFrame:

@@ -26,22 +26,38 @@ def column_stats(df: DataFrame, by: tuple[str, ...] = (), geom: str = "geom") ->
     All columns are aggregated side by side with map-side partial results and turned to rows afterwards, so
     the data is shuffled once, as one row per group and task. Bounds are texts of the typed min and max.
     """
+    return _statistics(df, by, geom, fold_bbox=False)
+
+
+def _statistics(df: DataFrame, by: tuple[str, ...], geom: str, fold_bbox: bool) -> DataFrame:
+    """``column_stats``; with ``fold_bbox`` the corners bound the geometry instead of being rows themselves."""
     fields = [f for f in df.schema.fields if f.name not in by]
     measures, entries = [F.count(F.lit(1)).alias("_n")], []
+    corners: dict[str, int] = {}
     for i, field in enumerate(fields):
         source = F.col(f"`{field.name}`")
-        measures.append(F.count_if(source.isNull()).alias(f"_nulls{i}"))
-        lower = upper = F.lit(None).cast("string")
+        measures.append(F.count(source).alias(f"_given{i}"))
         if not isinstance(field.dataType, _NO_BOUNDS):
             value = _orderable(field, source)
             measures += [F.min(value).alias(f"_lo{i}"), F.max(value).alias(f"_hi{i}")]
+        if field.name in BBOX_NAMES:
+            corners[field.name] = i
+    for i, field in enumerate(fields):
+        if fold_bbox and field.name in BBOX_NAMES:
+            continue
+        if fold_bbox and field.name == geom:
+            lower = F.concat_ws(" ", *[F.coalesce(F.col(f"_lo{corners[c]}").cast("string"), F.lit("NaN")) for c in ("xmin", "ymin")])
+            upper = F.concat_ws(" ", *[F.coalesce(F.col(f"_hi{corners[c]}").cast("string"), F.lit("NaN")) for c in ("xmax", "ymax")])
+        elif isinstance(field.dataType, _NO_BOUNDS):
+            lower = upper = F.lit(None).cast("string")
+        else:
             lower, upper = F.col(f"_lo{i}").cast("string"), F.col(f"_hi{i}").cast("string")
         entries.append(
             F.struct(
                 F.lit(field.name).alias("column"),
                 F.lit(published_type(field, geom).split("(")[0]).alias("kind"),
                 F.col("_n").alias("value_count"),
-                F.col(f"_nulls{i}").alias("null_count"),
+                (F.col("_n") - F.col(f"_given{i}")).alias("null_count"),
                 lower.alias("lower"),
                 upper.alias("upper"),
             )
@@ -71,21 +87,8 @@ def encoded_bounds(df: DataFrame, by: tuple[str, ...] = (), geom: str = "geom")
 
     ``has_bound`` is false for a placeholder pair; ``exact`` is false where a text was cut.
     """
-    stats = column_stats(df, by, geom)
-    if geom in df.columns and set(BBOX_NAMES) <= set(df.columns):
-        corners = F.col("column").isin("xmin", "ymin", "xmax", "ymax")
-        side = {c: F.max(F.when(F.col("column") == c, F.coalesce("lower", F.lit("NaN")))) for c in ("xmin", "ymin")}
-        side |= {c: F.max(F.when(F.col("column") == c, F.coalesce("upper", F.lit("NaN")))) for c in ("xmax", "ymax")}
-        # The statistics rows are few; the corners are folded into the geometry row of each group.
-        folded = stats.filter(corners | (F.col("column") == geom)).groupBy(*by).agg(
-            F.lit(geom).alias("column"),
-            F.lit("geometry").alias("kind"),
-            F.max(F.when(F.col("column") == geom, F.col("value_count"))).alias("value_count"),
-            F.max(F.when(F.col("column") == geom, F.col("null_count"))).alias("null_count"),
-            F.concat_ws(" ", side["xmin"], side["ymin"]).alias("lower"),
-            F.concat_ws(" ", side["xmax"], side["ymax"]).alias("upper"),
-        )
-        stats = stats.filter(~corners & (F.col("column") != geom)).unionByName(folded)
+    fold = geom in df.columns and set(BBOX_NAMES) <= set(df.columns)
+    stats = _statistics(df, by, geom, fold)
     text = F.col("kind") == "string"
     sides = {
         s: F.when(text, F.substring(s, 1, B.STRING_BOUND_CHARS + 1)).otherwise(F.col(s)) for s in ("lower", "upper")

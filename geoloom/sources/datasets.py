@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geoloom.functions.crs import domain
 from geoloom.functions.geometry import BBOX_NAMES
 from geoloom.operators.layout import hilbert_sort
 from geoloom.operators.schema import FIELD_ID, canonical_order, with_field_ids
@@ -39,7 +40,7 @@ def write_vector_dataset(
     partition_by: tuple[str, ...] = (),
     docs: dict[str, str] | None = None,
     epsg: int | None = None,
-    bits: int = 16,
+    bits: int = 24,
     extent: tuple[float, float, float, float] | None = None,
     max_records_per_file: int = 5_000_000,
     mode: str = "errorifexists",
@@ -47,8 +48,11 @@ def write_vector_dataset(
     """Attributes, geometry, bbox; zstd; field ids and descriptions; rows in Hilbert order.
 
     The rows are range-partitioned by (partition columns, curve position): a small partition value ends up in
-    one file, a value that has a large share of the rows in several, each a stretch of the curve.
+    one file, a value that has a large share of the rows in several, each a stretch of the curve. With a
+    known SRID the curve covers the whole domain of the CRS, so no pass over the data has to find its extent.
     """
+    if extent is None and epsg is not None:
+        extent = domain(epsg)
     ordered = canonical_order(df)
     described = with_field_ids(ordered, docs, epsg=epsg, partition_by=partition_by)
     placed = hilbert_sort(described, extent, bits, leading=partition_by)

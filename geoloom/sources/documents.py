@@ -51,4 +51,5 @@ def read_table_metadata(spark: SparkSession, paths) -> tuple[DataFrame, DataFram
 
 def read_inventory(spark: SparkSession, paths, schema: str = LAYER_INVENTORY) -> DataFrame:
     """Records of JSON array documents, with a given schema instead of an inferring pass."""
-    return spark.read.schema(schema).json(paths, multiLine=True)
+    names = spark.createDataFrame([], schema).columns
+    return spark.read.schema(schema).json(paths, multiLine=True).select(*names)
