@@ -143,29 +143,31 @@ def _points(array_of_pairs: Column) -> Column:
     return F.transform(array_of_pairs, lambda p: point_struct(F.get(p, 0), F.get(p, 1)))
 
 
-def geojson_code(geometry: Column) -> Column:
-    kind = F.get_json_object(geometry, "$.type")
+GEOJSON_HEAD = "type string, coordinates string"
+
+
+def geojson_code(kind: Column) -> Column:
     out = F.lit(None).cast("int")
     for name, code in TYPE_CODES.items():
         out = F.when(kind == name, F.lit(code)).otherwise(out)
     return out
 
 
-def geojson_parts(geometry: Column) -> Column:
-    """Nested coordinates of a GeoJSON geometry text; the JSON is read by the JVM, once per depth."""
-    kind = F.get_json_object(geometry, "$.type")
-    coords = F.get_json_object(geometry, "$.coordinates")
+def geojson_parts(kind: Column, coords: Column) -> Column:
+    """Nested coordinates from GeoJSON type and coordinate text; the JVM reads the text once, at its depth."""
     depth1 = F.from_json(coords, "array<double>")
     depth2 = F.from_json(coords, "array<array<double>>")
     depth3 = F.from_json(coords, "array<array<array<double>>>")
     depth4 = F.from_json(coords, "array<array<array<array<double>>>>")
-    point = F.when(F.size(depth1) == 0, F.array().cast(PARTS_TYPE)).otherwise(
-        F.array(F.array(F.array(point_struct(F.get(depth1, 0), F.get(depth1, 1)))))
-    )
+
+    def alone(p: Column) -> Column:
+        return F.array(F.array(p))
+
+    filled = F.filter(F.array(depth1), lambda p: F.size(p) > 0)
     return (
-        F.when(kind == "Point", point)
+        F.when(kind == "Point", F.transform(_points(filled), alone))
         .when(kind == "LineString", F.array(F.array(_points(depth2))))
-        .when(kind == "MultiPoint", F.transform(_points(depth2), lambda p: F.array(F.array(p))))
+        .when(kind == "MultiPoint", F.transform(_points(depth2), alone))
         .when(kind == "Polygon", F.array(F.transform(depth3, _points)))
         .when(kind == "MultiLineString", F.transform(depth3, lambda line: F.array(_points(line))))
         .when(kind == "MultiPolygon", F.transform(depth4, lambda poly: F.transform(poly, _points)))

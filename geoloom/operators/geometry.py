@@ -13,12 +13,13 @@ from geoloom.operators.schema import canonical_order, srid_of, with_srid
 
 
 def add_bbox(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """Per-row ``xmin, ymin, xmax, ymax`` in native units, one pass over the geometry."""
-    box = df.withColumn("_box", G.wkb_bbox(F.col(geom)))
-    return box.select(
-        *[F.col(f"`{c}`") for c in df.columns if c not in BBOX_NAMES],
-        *[F.col(f"_box.{n}").alias(n) for n in BBOX_NAMES],
-    )
+    """Per-row ``xmin, ymin, xmax, ymax`` in native units, one pass over the geometry.
+
+    The four columns come out of one generator. A later filter on them therefore stays above it and does
+    not make the Arrow function run a second time, while filters on other columns still reach the scan.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c not in BBOX_NAMES]
+    return df.select(*others, F.inline_outer(F.array(G.wkb_bbox(F.col(geom)))).alias(*BBOX_NAMES))
 
 
 def drop_null_or_empty_geometry(df: DataFrame, geom: str = "geom") -> DataFrame:
@@ -83,12 +84,21 @@ def encode_geometry(df: DataFrame, geometry: str = "geometry") -> tuple[DataFram
 
     A null geometry is no error: the row is kept with a null ``geom``.
     """
-    text = F.col(geometry)
-    parts = G.geojson_parts(text)
-    readable = text.isNull() | G.valid_parts(parts)
     others = [F.col(f"`{c}`") for c in df.columns if c != geometry]
-    accepted = df.filter(readable).select(*others, G.parts_to_wkb(G.geojson_code(text), parts).alias("geom"))
-    return accepted, df.filter(~readable)
+    head = df.select("*", F.from_json(geometry, G.GEOJSON_HEAD).alias("_g"))
+    kind = F.col("_g.type")
+    read = head.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        G.geojson_code(kind).alias("_code"),
+        G.geojson_parts(kind, F.col("_g.coordinates")).alias("_parts"),
+    )
+    readable = F.col(geometry).isNull() | G.valid_parts(F.col("_parts"))
+    # a generator drops unreadable rows without the coordinates being parsed again for a filter
+    kept = F.inline(F.when(readable, F.array(F.struct(F.col("_code").alias("_type"), F.col("_parts").alias("_rings")))))
+    accepted = read.select(*others, kept.alias("_type", "_rings")).select(
+        *others, G.parts_to_wkb(F.col("_type"), F.col("_rings")).alias("geom")
+    )
+    return accepted, read.filter(~readable).drop("_code", "_parts")
 
 
 def export_features(df: DataFrame, geom: str = "geom") -> DataFrame:

@@ -9,9 +9,9 @@ from geoloom.functions.geometry import wkb_bbox
 from geoloom.functions.guards import is_finite
 
 # Fixed values of the record extension.
-TABLE_PATTERN = "^[A-Za-z0-9_]+\\.[A-Za-z0-9_]+$"
+TABLE_PATTERN = "^[A-Za-z0-9_]+\\.[A-Za-z0-9_]+\\z"
 ACCESS_METHODS = ("iceberg_scan", "attach", "read_parquet", "read_raquet", "download")
-URI_PATTERN = "^[A-Za-z][A-Za-z0-9+.-]*:[^\\s<>\"{}|\\\\^`]+$"
+URI_PATTERN = "^[A-Za-z][A-Za-z0-9+.-]*:[^\\s<>\"{}|\\\\^`]+\\z"
 PROVENANCE_TEXTS = ("source", "source_provider", "source_license", "processing", "processed_by", "processed")
 PROVENANCE_REQUIRED = ("source", "processing")
 

@@ -93,7 +93,8 @@ INDEX_TYPE = _index_type()
 
 
 def write_index(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.to(INDEX_TYPE).write.mode(mode).option("compression", "zstd").parquet(path)
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in INDEX_TYPE.fields]
+    df.select(*columns).write.mode(mode).option("compression", "zstd").parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
