@@ -179,7 +179,9 @@ def j05(spark, sf):
     fx, fy = (F.floor(F.col(c) / 10000).cast("bigint") for c in ("xmin", "ymin"))
     name = F.concat(fx.cast("string"), F.lit("_"), fy.cast("string"))
     files = ST.geometry_bounds(df.select(name.alias("file"), ((fx + fy) % 13).alias("m"), "xmin", "ymin", "xmax", "ymax"), ("file", "m"))
-    files = files.withColumn("has_bound", F.col("m") != 0)
+    path = scratch_path(spark, "bounds")
+    files.withColumn("has_bound", F.col("m") != 0).write.parquet(path)
+    files = spark.read.parquet(path)
     x, y = F.col("x"), F.col("y")
     around = fixture(spark, sf, "F1").select(
         "id", (x - 1500).alias("xmin"), (y - 1500).alias("ymin"), (x + 1500).alias("xmax"), (y + 1500).alias("ymax")

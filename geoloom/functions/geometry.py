@@ -163,7 +163,7 @@ def geojson_parts(kind: Column, coords: Column) -> Column:
     def alone(p: Column) -> Column:
         return F.array(F.array(p))
 
-    filled = F.filter(F.array(depth1), lambda p: F.size(p) > 0)
+    filled = F.filter(F.array(depth1), lambda p: p.isNull() | (F.size(p) > 0))
     return (
         F.when(kind == "Point", F.transform(_points(filled), alone))
         .when(kind == "LineString", F.array(F.array(_points(depth2))))

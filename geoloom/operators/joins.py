@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -66,30 +66,25 @@ def resolve_kind_collisions(tabular: DataFrame, spatial: DataFrame) -> DataFrame
     return tabular.join(taken, "id", "left").withColumn("out_id", out).drop("_taken")
 
 
-def _level(width: Column, height: Column, base: float, step: int) -> Column:
-    """Smallest level whose cell is at least as big as the rectangle."""
-    ratio = F.greatest(width, height) / base
-    return F.when(ratio <= 1, F.lit(0)).otherwise(F.ceil(F.log(float(step), ratio))).cast("int")
-
-
 def _cells(df: DataFrame, base: float, step: int, top: int, lifted: bool, above_own: bool) -> DataFrame:
     """One row per grid cell a rectangle touches, at its own level or at all coarser ones.
 
-    At its own level or above, a rectangle is no bigger than a cell, so it touches at most four.
+    The own level is the first whose cell is at least as big as the rectangle, so at that level and above
+    it touches at most four cells.
     """
-    own = _level(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), base, step)
-    own = F.least(own, F.lit(top))
-    first = own + 1 if above_own else own
+    side = "greatest(xmax - xmin, ymax - ymin)"
+    own = f"least({top}, if({side} <= {base}, 0, cast(ceil(log({step}, {side} / {base})) as int)))"
+    first = f"{own} + 1" if above_own else own
+    levels = f"array({own})"
     if lifted:
-        levels = F.when(first <= top, F.sequence(first, F.lit(top))).otherwise(F.array().cast("array<int>"))
-    else:
-        levels = F.array(own)
-    out = df.withColumn("_level", F.explode(levels))
-    cell = F.lit(base) * F.pow(F.lit(float(step)), F.col("_level"))
-    for a in "xy":
-        lo, hi = (F.floor(F.col(f"{a}{s}") / cell).cast("bigint") for s in ("min", "max"))
-        out = out.withColumn(f"_c{a}", F.explode(F.sequence(lo, hi)))
-    return out
+        levels = f"if({first} <= {top}, sequence({first}, {top}), cast(array() as array<int>))"
+    cell = f"({base} * pow({step}D, _level))"
+
+    def touched(a: str) -> str:
+        return f"explode(sequence(cast(floor({a}min / {cell}) as bigint), cast(floor({a}max / {cell}) as bigint))) as _c{a}"
+
+    levelled = df.selectExpr("*", f"explode({levels}) as _level")
+    return levelled.selectExpr("*", touched("x")).selectExpr("*", touched("y"))
 
 
 def overlap_pairs(left: DataFrame, right: DataFrame, base: float = 1000.0, step: int = 4) -> DataFrame:
@@ -101,33 +96,26 @@ def overlap_pairs(left: DataFrame, right: DataFrame, base: float = 1000.0, step:
     """
     named = []
     for df, p in ((left, "l"), (right, "r")):
-        keep = df.filter(F.col("xmin").isNotNull() & F.col("ymin").isNotNull() & F.col("xmax").isNotNull() & F.col("ymax").isNotNull())
-        named.append((keep.select("id", "xmin", "ymin", "xmax", "ymax"), p))
-    sizes = [d.agg(F.max(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")))).first()[0] for d, _ in named]
-    biggest, top = max([s for s in sizes if s is not None], default=0.0), 0
+        known = F.col("xmin").isNotNull() & F.col("ymin").isNotNull() & F.col("xmax").isNotNull() & F.col("ymax").isNotNull()
+        sides = [F.col(c).cast("double").alias(c) for c in ("xmin", "ymin", "xmax", "ymax")]
+        named.append((df.filter(known).select("id", *sides), p))
+    longest = F.max(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")))
+    biggest, top = named[0][0].drop("id").unionByName(named[1][0].drop("id")).agg(longest).first()[0] or 0.0, 0
     while base * step**top < biggest:
         top += 1
 
     def side(i: int, lifted: bool, above_own: bool = False) -> DataFrame:
         df, p = named[i]
-        cells = _cells(df, base, step, top, lifted, above_own)
         names = {c: f"{p}_{c}" for c in ("id", "xmin", "ymin", "xmax", "ymax")}
-        return cells.withColumnsRenamed(names)
+        return _cells(df, base, step, top, lifted, above_own).withColumnsRenamed(names)
+
+    cell = f"({base} * pow({step}D, _level))"
+    overlap = "l_xmin <= r_xmax and l_xmax >= r_xmin and l_ymin <= r_ymax and l_ymax >= r_ymin"
+    # boxes that share several cells are paired in the cell of the overlap's lower corner only
+    once = " and ".join(f"floor(greatest(l_{a}min, r_{a}min) / {cell}) = _c{a}" for a in "xy")
 
     def meet(a: DataFrame, b: DataFrame) -> DataFrame:
-        pairs = a.join(b, ["_level", "_cx", "_cy"])
-        overlap = (
-            (F.col("l_xmin") <= F.col("r_xmax"))
-            & (F.col("l_xmax") >= F.col("r_xmin"))
-            & (F.col("l_ymin") <= F.col("r_ymax"))
-            & (F.col("l_ymax") >= F.col("r_ymin"))
-        )
-        cell = F.lit(base) * F.pow(F.lit(float(step)), F.col("_level"))
-        # boxes that share several cells are paired in the cell of the overlap's lower corner only
-        once = (F.floor(F.greatest("l_xmin", "r_xmin") / cell) == F.col("_cx")) & (
-            F.floor(F.greatest("l_ymin", "r_ymin") / cell) == F.col("_cy")
-        )
-        return pairs.filter(overlap & once).select("l_id", "r_id")
+        return a.join(b, ["_level", "_cx", "_cy"]).filter(f"{overlap} and {once}").select("l_id", "r_id")
 
     return meet(side(0, lifted=False), side(1, lifted=True)).unionByName(
         meet(side(0, lifted=True, above_own=True), side(1, lifted=False))
@@ -142,15 +130,16 @@ def prune_files(files: DataFrame, boxes: DataFrame, base: float = 1000.0) -> Dat
     known = files.filter("has_bound").select(F.col("file").alias("id"), "xmin", "ymin", "xmax", "ymax")
     pairs = overlap_pairs(boxes, known, base)
     hits = pairs.groupBy(F.col("l_id").alias("id")).agg(F.count(F.lit(1)).alias("_hits"))
-    total = files.agg(F.count(F.lit(1))).scalar()
-    always = files.agg(F.count_if(~F.col("has_bound"))).scalar()
+    counts = files.agg(
+        F.struct(F.count(F.lit(1)).alias("total"), F.count_if(~F.col("has_bound")).alias("always"))
+    ).scalar()
     return (
         boxes.select("id")
         .join(hits, "id", "left")
         .select(
             F.col("id").alias("box"),
-            (F.coalesce("_hits", F.lit(0)) + always).alias("scanned"),
-            total.alias("total"),
+            (F.coalesce("_hits", F.lit(0)) + counts.always).alias("scanned"),
+            counts.total.alias("total"),
         )
     )
 

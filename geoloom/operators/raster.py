@@ -23,8 +23,13 @@ def to_tiles(cells: DataFrame, size: int = 512) -> DataFrame:
         "value",
     )
     single = tiled.groupBy("layer", "tx", "ty", "at").agg(F.max("value").alias("value"))
-    packed = single.groupBy("layer", "tx", "ty").agg(F.map_from_entries(F.collect_list(F.struct("at", "value"))).alias("_m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), lambda i: F.try_element_at("_m", i))
+    packed = single.groupBy("layer", "tx", "ty").agg(F.collect_list(F.struct("at", "value")).alias("_e"))
+    known = F.col("_e")
+    unknown = F.array_except(F.sequence(F.lit(0), F.lit(size * size - 1)), F.transform(known, lambda e: e.at))
+    kind = single.schema["value"].dataType
+    gaps = F.transform(unknown, lambda i: F.struct(i.alias("at"), F.lit(None).cast(kind).alias("value")))
+    whole = F.when(F.size(known) == size * size, known).otherwise(F.concat(known, gaps))
+    dense = F.transform(F.sort_array(whole), lambda e: e.value)
     return packed.select("layer", "tx", "ty", dense.alias("cells"))
 
 

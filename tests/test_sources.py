@@ -51,6 +51,13 @@ TEXTS = {
     "escaped.csv": (b'a;b\n"he said ""x""";2\n', ["a", "b"], [('he said "x"', "2")]),
     "open_quote.csv": (b'x;y\n"abc;2\n3;4\n', ["x", "y"], [('"abc', "2"), ("3", "4")]),
     "spaces.csv": (b" a ; b\n 1 ; 2\n", ["a", "b"], [(" 1 ", " 2")]),
+    "one_row.csv": (b"1;2;3\n", ["column0", "column1", "column2"], [("1", "2", "3")]),
+    "one_mixed.csv": (b"1;2;a\n", ["column0", "column1", "column2"], [("1", "2", "a")]),
+    "copies.csv": (b"1;2\n1;2\n1;2\n", ["column0", "column1"], [("1", "2")] * 3),
+    "word_copies.csv": (b"a;b\na;b\n", ["a", "b"], [("a", "b")]),
+    "year_column.csv": (b"x;2019\na;1\nb;2\n", ["column0", "column1"], [("a", "1"), ("b", "2"), ("x", "2019")]),
+    "year_and_total.csv": ("n;2019;año\nÁvila;5;6\nM;7;8\n".encode("latin-1"), ["n", "2019", "año"], [("Ávila", "5", "6"), ("M", "7", "8")]),
+    "blank_column.csv": (b"x;2019\na;\n", ["x", "2019"], [("a", None)]),
     "dates.csv": (b"fecha;n\n2024-01-01;x\n2024-01-02;y\n", ["fecha", "n"], [("2024-01-01", "x"), ("2024-01-02", "y")]),
 }
 
