@@ -9,28 +9,35 @@ from geoloom.functions.crs import to_wgs84
 from geoloom.functions.guards import REGION_WGS84, is_finite
 
 
+_INTEGERS = ("tinyint", "smallint", "int")
+
+
 def to_tiles(cells: DataFrame, size: int = 512) -> DataFrame:
     """(layer, tx, ty, cells): a row-major array of ``size * size`` values per tile, null where no cell is.
 
-    Copies of a cell are merged before tiles are put together (the greatest value stays), so a tile never
-    collects more than ``size * size`` entries however often its cells repeat.
+    A cell travels as one number, its place in the tile above its value, and tiles are collected as sets.
+    Copies of a cell are thus merged before the shuffle already: a tile holds each pair of place and value
+    once, however often it occurs. Where values of one place differ, the greatest stays.
     """
-    tiled = cells.select(
+    if dict(cells.dtypes)["value"] not in _INTEGERS:
+        raise ValueError("grid values must be integers of at most 32 bits")
+    low = 33  # bits below the place: 32 of the value and one that marks a gap
+    tiled = cells.selectExpr(
         "layer",
-        F.expr(f"col div {size}").alias("tx"),
-        F.expr(f"row div {size}").alias("ty"),
-        (F.pmod("row", F.lit(size)) * size + F.pmod("col", F.lit(size))).cast("int").alias("at"),
-        "value",
+        f"col div {size} as tx",
+        f"row div {size} as ty",
+        f"(pmod(row, {size}) * {size} + pmod(col, {size})) * {1 << low} + (cast(value as bigint) + {1 << 31}) as _cell",
+    )
+    packed = tiled.groupBy("layer", "tx", "ty").agg(F.sort_array(F.collect_set("_cell")).alias("_s"))
+    last = f"i = size(_s) - 1 or shiftright(_s[i], {low}) <> shiftright(_s[i + 1], {low})"
+    single = packed.selectExpr("layer", "tx", "ty", f"filter(_s, (c, i) -> {last}) as _k")
+    unknown = f"array_except(sequence(0L, {size * size - 1}L), transform(_k, c -> shiftright(c, {low})))"
+    gaps = f"transform({unknown}, i -> i * {1 << low} + {1 << 32})"
+    dense = f"if(size(_k) = {size * size}, _k, sort_array(concat(_k, {gaps})))"
+    value = f"if((c & {1 << 32}) <> 0, null, cast((c & {(1 << 32) - 1}) - {1 << 31} as int))"
+    return single.selectExpr("layer", "tx", "ty", f"{dense} as _d").selectExpr(
+        "layer", "tx", "ty", f"transform(_d, c -> {value}) as cells"
     )
-    single = tiled.groupBy("layer", "tx", "ty", "at").agg(F.max("value").alias("value"))
-    packed = single.groupBy("layer", "tx", "ty").agg(F.collect_list(F.struct("at", "value")).alias("_e"))
-    known = F.col("_e")
-    unknown = F.array_except(F.sequence(F.lit(0), F.lit(size * size - 1)), F.transform(known, lambda e: e.at))
-    kind = single.schema["value"].dataType
-    gaps = F.transform(unknown, lambda i: F.struct(i.alias("at"), F.lit(None).cast(kind).alias("value")))
-    whole = F.when(F.size(known) == size * size, known).otherwise(F.concat(known, gaps))
-    dense = F.transform(F.sort_array(whole), lambda e: e.value)
-    return packed.select("layer", "tx", "ty", dense.alias("cells"))
 
 
 def overview_levels(width: Column, height: Column, size: int) -> Column:
