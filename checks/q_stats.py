@@ -132,7 +132,27 @@ def a03(spark, sf):
     )
 
 
-@query("a03_encoded_geometry_bounds")
+def _double_hex(number: str) -> str:
+    """Little-endian hex text of the bits of a positive double."""
+    power = f"floor(log2({number}))"
+    bits = f"((cast({power} as bigint) + 1023) * 4503599627370496 + cast(({number} / pow(2, {power}) - 1) * 4503599627370496 as bigint))"
+    return _le_hex(bits, 8)
+
+
+def _a03_geometry_sql() -> str:
+    live = "case when geom_state = 'polygon' then {} end"
+    x0, y0, x1, y1 = (live.format(c) for c in ("x0", "y0", "x0 + w", "y0 + h"))
+    return (
+        "select part_key, 'attr' as \"column\", 'double' as kind, count(*) as value_count, 0 as null_count,"
+        f" {_double_hex('min(attr)')} as lower, {_double_hex('max(attr)')} as upper, true as has_bound, true as exact"
+        " from $F2 group by part_key union all"
+        " select part_key, 'geom', 'geometry', count(*), count_if(geom_state = 'null'),"
+        f" {_double_hex(f'min({x0})')} || {_double_hex(f'min({y0})')}, {_double_hex(f'max({x1})')} || {_double_hex(f'max({y1})')}, true, true"
+        " from $F2 group by part_key"
+    )
+
+
+@query("a03_encoded_geometry_bounds", _a03_geometry_sql())
 def a03_geometry(spark, sf):
     out = ST.encoded_bounds(C.boxes_with_bbox(spark, sf).select("part_key", "attr", "geom", "xmin", "ymin", "xmax", "ymax"), ("part_key",))
     return out.withColumn("lower", F.hex("lower")).withColumn("upper", F.hex("upper"))

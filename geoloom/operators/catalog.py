@@ -257,9 +257,20 @@ def index_rows(
 
 
 def collection_extensions(
-    kind: Column, identifier: Column, table: Column, snapshot: Column, href: Column, source: Column, base: str, repo: str
+    kind: Column,
+    identifier: Column,
+    table: Column,
+    snapshot: Column,
+    href: Column,
+    source: Column,
+    base: str,
+    repo: str,
+    prefix: str = "",
 ) -> Column:
-    """JSON that a collection document gains, by kind. All hrefs are absolute."""
+    """JSON that a collection document gains, by kind. All hrefs are absolute.
+
+    ``prefix`` is the namespace of the two keys that are the catalog's own, ``geospatial`` and ``managed``.
+    """
     link = F.array(F.struct(F.lit("via").alias("rel"), source.alias("href"), F.lit("text/html").alias("type")))
     common = [
         F.concat(F.lit(f"{repo}/edit/main/"), identifier, F.lit("/collection.json")).alias("git:edit_url"),
@@ -294,11 +305,11 @@ def collection_extensions(
         F.lit("Raquet raster — read_raquet()").alias("title"),
     )
     remote = F.struct(
-        href.alias("href"), F.lit(PARQUET_MEDIA).alias("type"), data_role("data", "external"), F.lit(False).alias("managed")
+        href.alias("href"), F.lit(PARQUET_MEDIA).alias("type"), data_role("data", "external"), F.lit(False).alias(f"{prefix}managed")
     )
     return (
         F.when(kind == "vector", table_fields("v3"))
-        .when(kind == "non-geo", table_fields("tab", F.lit(False).alias("geospatial")))
+        .when(kind == "non-geo", table_fields("tab", F.lit(False).alias(f"{prefix}geospatial")))
         .when(kind == "raster", F.to_json(F.struct(F.struct(raster.alias("data")).alias("assets"), *common)))
         .when(kind == "remote", F.to_json(F.struct(F.struct(remote.alias("data")).alias("assets"), *common)))
     )

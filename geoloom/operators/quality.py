@@ -54,6 +54,29 @@ def validate_records(df: DataFrame) -> DataFrame:
     return df.withColumn("violations", F.filter(F.array(*rules), lambda v: v.isNotNull()))
 
 
+RECORD_TEXTS = ("iceberg_endpoint", "iceberg_table", "access", "source_repo")
+
+
+def records_from_json(df: DataFrame, document: str, prefix: str = "") -> DataFrame:
+    """The columns ``validate_records`` looks at, out of whole record documents.
+
+    ``prefix`` is the namespace of the keys in the document. A value that is no text becomes its JSON text,
+    or an empty text for null, so that it breaks the rule of its field; an absent key is a null.
+    """
+    parsed = F.try_parse_json(F.col(document))
+
+    def member(name: str) -> Column:
+        return F.try_variant_get(parsed, f'$["{prefix}{name}"]', "variant")
+
+    def text(name: str) -> Column:
+        value = member(name)
+        kind = F.schema_of_variant(value)
+        plain = F.when(kind == "STRING", F.try_variant_get(value, "$", "string")).otherwise(F.to_json(value))
+        return F.when(kind == "VOID", "").otherwise(plain).alias(name)
+
+    return df.select("*", *[text(n) for n in RECORD_TEXTS], F.to_json(member("provenance")).alias("provenance"))
+
+
 LAYOUT_RULES = (
     "geometry_with_srid",
     "geometry_id_before_bbox",

@@ -11,6 +11,7 @@ from geoloom.operators import quality as Q
 from geoloom.operators import schema as S
 from geoloom.operators import setops as U
 from geoloom.operators import stats as ST
+from geoloom.session import scratch_path
 from geoloom.sources import datasets as D
 
 
@@ -32,14 +33,23 @@ def publish_vector(
     partition_by: tuple[str, ...] = (),
     docs: dict[str, str] | None = None,
     bits: int = 24,
+    stage: bool = False,
 ) -> dict[str, DataFrame]:
     """Write a vector table and return its statistics, taken from the written files.
 
+    A range shuffle looks at its input twice, once for the range bounds. Where the input is costly to make
+    (JSON features), ``stage`` writes the normalised rows to the shared folder first and sorts from there.
+
     ``files``: size, rows and bounds per file; ``columns``: encoded bounds per file and column;
     ``extent``: the WGS84 box.
     """
     spark = df.sparkSession
-    D.write_vector_dataset(normalise_vector(df, epsg), path, partition_by, docs, epsg, bits)
+    rows = normalise_vector(df, epsg)
+    if stage:
+        staged = scratch_path(spark, "staged")
+        rows.write.option("compression", "zstd").parquet(staged)
+        rows = S.with_srid(spark.read.schema(rows.schema).parquet(staged), epsg)
+    D.write_vector_dataset(rows, path, partition_by, docs, epsg, bits)
     written = S.with_srid(spark.read.parquet(path), epsg)
     named = written.drop(*partition_by).withColumn("file", F.col("_metadata.file_path"))
     return {

@@ -16,7 +16,9 @@ RECOMMENDED_CONF = {
     "spark.sql.parquet.fieldId.write.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
+    # a batch for a Python worker ends at whichever comes first, so huge geometries cannot fill its memory
     "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
 

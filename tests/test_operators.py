@@ -296,6 +296,17 @@ def test_records(spark):
     ]
 
 
+def test_record_documents(spark):
+    docs = [
+        '{"x:iceberg_table":"a.b","x:access":"attach","other":1,"x:provenance":{"source":"s","processing":"p"}}',
+        '{"x:iceberg_table":5,"x:access":null,"x:provenance":{"source":"s"}}',
+        '{"iceberg_table":"bad"}',
+    ]
+    df = Q.records_from_json(spark.createDataFrame([(d,) for d in docs], "doc string"), "doc", "x:")
+    got = [sorted(r.violations) for r in Q.validate_records(df).collect()]
+    assert got == [[], ["access", "iceberg_table", "provenance.processing"], []]
+
+
 def test_nothing_existing_is_deleted(spark):
     old = spark.createDataFrame([("a", 1), ("b", 1)], "id string, v int")
     new = spark.createDataFrame([("b", 2), ("c", 2)], "id string, v int")

@@ -251,8 +251,9 @@ def test_index_schema(spark, tmp_path):
     assert row.bbox.xmin == -4.58 and bytes(row.geometry)[:9] == struct.pack("<BII", 1, 3, 1)
 
 
-def test_published_bounds_come_from_the_files(spark, tmp_path):
-    out = PB.publish_vector(points(spark, 2000), str(tmp_path / "v"), 25830, ("p",))
+@pytest.mark.parametrize("stage", [False, True])
+def test_published_bounds_come_from_the_files(spark, tmp_path, stage):
+    out = PB.publish_vector(points(spark, 2000), str(tmp_path / "v"), 25830, ("p",), stage=stage)
     files, columns = out["files"].collect(), out["columns"].collect()
     assert sum(r.rows for r in files) == 2000 and all(r.has_bound for r in files)
     assert {r.column for r in columns} == {"id", "geom"} and all(r.has_bound for r in columns)
