@@ -211,7 +211,7 @@ def results(spark, sf):
 
 @query(
     "a10_status_tally",
-    "select count_if(s like 'OK%') as ok, count_if(s = 'skip') as skip, count_if(s = 'FAIL') as fail, count(*) as total,"
+    "select cast(count_if(s like 'OK%') as bigint) as ok, cast(count_if(s = 'skip') as bigint) as skip, cast(count_if(s = 'FAIL') as bigint) as fail, count(*) as total,"
     f" round(count_if(s <> 'FAIL') / count(*), 6) as success_rate from (select {_STATUS} as s from $F8)",
 )
 def a10(spark, sf):
@@ -225,7 +225,7 @@ def a10_failures(spark, sf):
 
 @query(
     "a11_namespace_listing",
-    "select ns as namespace, cast((rn - 1) // 50 as bigint) as page, count(*) as tables, min(id) as first_name, max(id) as last_name from"
+    "select ns as namespace, cast((rn - 1) // 50 as bigint) as page, cast(count(*) as integer) as tables, min(id) as first_name, max(id) as last_name from"
     f" (select case kind when 'vector' then 'v3' when 'tabular' then 'tab' else 'cog' end as ns, {_ID} as id,"
     f" row_number() over (partition by kind order by {_ID}) as rn from $F4) group by 1, 2",
 )
@@ -300,7 +300,7 @@ def w03(spark, sf):
 
 @query(
     "u01_build_index",
-    f"select {_ID} as id, kind, n_rows as rows, row_number() over (order by case kind when 'vector' then 1 when 'tabular' then 2 else 3 end, {_ID}) - 1"
+    f"select {_ID} as id, kind, cast(n_rows as bigint) as rows, row_number() over (order by case kind when 'vector' then 1 when 'tabular' then 2 else 3 end, {_ID}) - 1"
     " as position from $F4",
 )
 def u01(spark, sf):
@@ -487,9 +487,9 @@ def q02(spark, sf):
 
 @query(
     "q03_audit_geometries",
-    "select 'before' as stage, count(*) as rows, count_if(geom_state = 'null') as null_geometries,"
-    " count_if(geom_state = 'empty') as empty_geometries, 0 as non_finite_bbox from $F2 union all"
-    " select 'after', count_if(geom_state = 'polygon'), 0, 0, 0 from $F2",
+    "select 'before' as stage, count(*) as rows, cast(count_if(geom_state = 'null') as bigint) as null_geometries,"
+    " cast(count_if(geom_state = 'empty') as bigint) as empty_geometries, cast(0 as bigint) as non_finite_bbox from $F2 union all"
+    " select 'after', cast(count_if(geom_state = 'polygon') as bigint), 0, 0, 0 from $F2",
 )
 def q03(spark, sf):
     df = C.boxes(spark, sf)

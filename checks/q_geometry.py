@@ -155,7 +155,7 @@ def f03_points(spark, sf):
     return OG.intersects(OG.add_bbox(C.points(spark, sf)), TRIANGLE, C.EPSG).select("id")
 
 
-@query("f04_assert_srid", "select count(*) as n, sum(id) as ids from $F2 where id % 3 = 0")
+@query("f04_assert_srid", "select count(*) as n, cast(sum(id) as bigint) as ids from $F2 where id % 3 = 0")
 def f04(spark, sf):
     srid = F.when(F.col("id") % 3 == 0, F.lit(25830)).otherwise(F.lit(4326))
     df = C.boxes(spark, sf).withColumn("srid", srid)

@@ -37,7 +37,7 @@ def p01(spark, sf):
 @query(
     "p01_coerce_types_broad",
     "select l_orderkey, cast(l_shipdate as varchar) as l_shipdate, l_linenumber as line_small,"
-    " length(l_returnflag) as flag_bytes from lineitem",
+    " cast(length(l_returnflag) as integer) as flag_bytes from lineitem",
 )
 def p01_broad(spark, sf):
     df = table(spark, sf, "lineitem").select(
@@ -294,8 +294,8 @@ def x09(spark, sf):
 
 @query(
     "x11_region_default",
-    "select seq, case when kind = 'vector' then -3.5 else -4.58 end as xmin,"
-    " case when kind = 'vector' then 41.0 else 41.17 end as ymax from $F4",
+    "select seq, cast(case when kind = 'vector' then -3.5 else -4.58 end as double) as xmin,"
+    " cast(case when kind = 'vector' then 41.0 else 41.17 end as double) as ymax from $F4",
 )
 def x11(spark, sf):
     own = F.struct(

@@ -32,7 +32,7 @@ def _a01_sql() -> str:
         pick_text = "{}" if text else "cast(null as varchar)"
         rows.append(
             f"select '{name}' as \"column\", count(*) as value_count,"
-            f" count_if({_A01_NULLS.get(name, 'false')}) as null_count,"
+            f" cast(count_if({_A01_NULLS.get(name, 'false')}) as bigint) as null_count,"
             f" cast({pick.format(f'min({expr})')} as double) as lower_number, cast({pick.format(f'max({expr})')} as double) as upper_number,"
             f" {pick_text.format(f'min({expr})')} as lower_text, {pick_text.format(f'max({expr})')} as upper_text from lineitem"
         )
@@ -143,10 +143,10 @@ def _a03_geometry_sql() -> str:
     live = "case when geom_state = 'polygon' then {} end"
     x0, y0, x1, y1 = (live.format(c) for c in ("x0", "y0", "x0 + w", "y0 + h"))
     return (
-        "select part_key, 'attr' as \"column\", 'double' as kind, count(*) as value_count, 0 as null_count,"
+        "select part_key, 'attr' as \"column\", 'double' as kind, count(*) as value_count, cast(0 as bigint) as null_count,"
         f" {_double_hex('min(attr)')} as lower, {_double_hex('max(attr)')} as upper, true as has_bound, true as exact"
         " from $F2 group by part_key union all"
-        " select part_key, 'geom', 'geometry', count(*), count_if(geom_state = 'null'),"
+        " select part_key, 'geom', 'geometry', count(*), cast(count_if(geom_state = 'null') as bigint),"
         f" {_double_hex(f'min({x0})')} || {_double_hex(f'min({y0})')}, {_double_hex(f'max({x1})')} || {_double_hex(f'max({y1})')}, true, true"
         " from $F2 group by part_key"
     )
@@ -191,8 +191,8 @@ _SQUARES = (
 
 @query(
     "j05_prune_files",
-    "select p.id as box, count_if(not f.has_bound or (f.xmin <= p.x + 1500 and f.xmax >= p.x - 1500 and f.ymin <= p.y + 1500"
-    f" and f.ymax >= p.y - 1500)) as scanned, count(*) as total from $F1 p cross join {_SQUARES} f group by p.id",
+    "select p.id as box, cast(count_if(not f.has_bound or (f.xmin <= p.x + 1500 and f.xmax >= p.x - 1500 and f.ymin <= p.y + 1500"
+    f" and f.ymax >= p.y - 1500)) as bigint) as scanned, count(*) as total from $F1 p cross join {_SQUARES} f group by p.id",
 )
 def j05(spark, sf):
     df = OG.drop_null_or_empty_geometry(C.boxes_with_bbox(spark, sf))
@@ -237,7 +237,7 @@ def cells(spark, sf):
 
 @query(
     "r01_to_tiles",
-    "select t.tx, t.ty, t.n as at, f.value as value from (select distinct cast(col // 16 as bigint) tx, cast(cell_row // 16 as bigint) ty, k.n"
+    "select t.tx, t.ty, cast(t.n as integer) as at, f.value as value from (select distinct cast(col // 16 as bigint) tx, cast(cell_row // 16 as bigint) ty, k.n"
     " from $F7, range(256) k(n)) t left join $F7 f on f.col = t.tx * 16 + t.n % 16 and f.cell_row = t.ty * 16 + t.n // 16",
 )
 def r01(spark, sf):
