@@ -14,6 +14,7 @@ from geoloom.functions import text as TX
 from geoloom.operators import geometry as OG
 from geoloom.operators import setops as U
 from geoloom.operators import stats as ST
+from geoloom.plans import explore as EX
 from geoloom.plans import publish as PB
 from geoloom.session import scratch_path
 from geoloom.sources import datasets as D
@@ -194,8 +195,8 @@ def s08(spark, sf):
 
 
 def _metadata_documents(spark, sf):
-    """One table-metadata document per ten manifest entries, named after its first entry."""
-    df = fixture(spark, sf, "F4").withColumn("doc", F.floor(F.col("seq") / 10))
+    """One table-metadata document per hundred manifest entries, named after its first entry."""
+    df = fixture(spark, sf, "F4").withColumn("doc", F.floor(F.col("seq") / 100))
     fields = F.transform(
         F.sort_array(F.collect_list(F.struct("seq", "title"))),
         lambda r: F.struct(r.seq.alias("id"), F.concat(F.lit("c"), r.seq.cast("string")).alias("name"), F.lit("long").alias("type"), r.title.alias("doc")),
@@ -216,7 +217,7 @@ def _metadata_documents(spark, sf):
     return path
 
 
-@query("s09_read_table_metadata", "select cast(seq // 10 as bigint) as dataset, seq as id, 'c' || seq as name, 'long' as type, title as doc from $F4")
+@query("s09_read_table_metadata", "select cast(seq // 100 as bigint) as dataset, seq as id, 'c' || seq as name, 'long' as type, title as doc from $F4")
 def s09(spark, sf):
     fields, _ = DOC.read_table_metadata(spark, _metadata_documents(spark, sf))
     number = F.regexp_extract("file", "doc=([0-9]+)/", 1).cast("bigint")
@@ -225,7 +226,7 @@ def s09(spark, sf):
 
 @query(
     "s09_snapshot_totals",
-    "select cast(seq // 10 as bigint) as dataset, case when (seq // 10) % 3 = 0 then null else cast(count(*) as varchar) end as total_records from $F4 group by seq // 10",
+    "select cast(seq // 100 as bigint) as dataset, case when (seq // 100) % 3 = 0 then null else cast(count(*) as varchar) end as total_records from $F4 group by seq // 100",
 )
 def s09_totals(spark, sf):
     _, totals = DOC.read_table_metadata(spark, _metadata_documents(spark, sf))
@@ -273,3 +274,47 @@ def incremental(spark, sf):
     features.select("value").write.mode("append").text(landing)
     IN.ingest_features(spark, landing, target, ATTRIBUTES).awaitTermination()
     return spark.read.parquet(f"{target}/data").select("id", "part_key", "attr", "xmin", "ymax")
+
+
+@query(
+    "l03_catalog_page",
+    "select id, kind, greatest(n - 500, 0) as remaining, 'D' || substr(id, 2) as label from"
+    " (select concat('d', cast(seq as varchar(20))) as id, kind, count(*) over () as n from $F4 where concat('d', cast(seq as varchar(20))) like '%1%')"
+    " order by id limit 500",
+)
+def catalog_page(spark, sf):
+    return EX.catalog_page(index(spark, sf), "all", " 1")
+
+
+@query(
+    "l03_dataset_pages",
+    "select id, 'D' || substr(id, 2) as label, case when seq % 4 = 0 then 'table' else kind end as type,"
+    " case when seq % 4 = 0 then 'EPSG:4326' else 'EPSG:25830' end as crs,"
+    " 'https://storage.googleapis.com/b/v3/' || id || '/data/' || id || '.parquet' as parquet_url,"
+    " 'https://storage.googleapis.com/b/v3/' || id || '/metadata/v1.metadata.json' as metadata_url,"
+    " 's3://b/v3/' || id || '/data/' || id || '.parquet' as s3_uri, id as table_name"
+    " from (select concat('d', cast(seq as varchar(20))) as id, * from $F4)",
+)
+def dataset_pages(spark, sf):
+    df = index(spark, sf)
+    known = df.filter("seq % 4 <> 0").select(
+        "id", F.col("kind").alias("type"), F.lit(25830).alias("crs"), F.lit(None).cast("string").alias("parquet"), F.lit(None).cast("string").alias("meta")
+    )
+    return EX.dataset_pages(df.select("id"), known, "https://storage.googleapis.com/b")
+
+
+@query(
+    "l04_publish_text_tables",
+    "select event_type as dataset, count(*) as rows, 'OK(' || count(*) || ')' as status from events group by event_type union all"
+    " select 'orders_' || lower(o_orderstatus), count(*), 'OK(' || count(*) || ')' from orders group by o_orderstatus",
+)
+def publish_text(spark, sf):
+    """Two families of files in two dialects, a folder per dataset, published with one job each."""
+    base = scratch_path(spark, "texts")
+    events = table(spark, sf, "events").select("event_type", "event_id", "user_id", F.col("props").alias("Detalle"))
+    events.write.partitionBy("event_type").option("header", True).option("sep", ";").option("escape", '"').csv(f"{base}/in/events")
+    orders = table(spark, sf, "orders").select("o_orderstatus", "o_orderkey", F.col("o_orderpriority").alias("Prioridad"))
+    orders.write.partitionBy("o_orderstatus").option("header", True).option("sep", ",").csv(f"{base}/in/orders")
+    family = F.when(F.col("_file").contains("/orders/"), "orders_").otherwise("")
+    dataset = TX.slug(F.concat(family, F.regexp_extract("_file", "=([^/]+)/", 1)), "package")
+    return PB.publish_text_tables(spark, [f"{base}/in/events", f"{base}/in/orders"], f"{base}/out", dataset)

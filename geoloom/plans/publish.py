@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoloom.functions import text as TX
 from geoloom.operators import catalog as K
 from geoloom.operators import geometry as OG
 from geoloom.operators import quality as Q
@@ -13,6 +14,7 @@ from geoloom.operators import setops as U
 from geoloom.operators import stats as ST
 from geoloom.session import scratch_path
 from geoloom.sources import datasets as D
+from geoloom.sources import text_tables as TT
 
 
 def normalise_vector(df: DataFrame, epsg: int, profile: str = "strict") -> DataFrame:
@@ -89,3 +91,32 @@ def build_catalog(
 def vector_report(df: DataFrame) -> DataFrame:
     """Geometry audit of a source before it is published."""
     return Q.audit_geometries(df)
+
+
+def publish_text_tables(
+    spark: SparkSession, paths: list[str], path: str, dataset: Column | None = None, prefer: str = TT.LATIN1
+) -> DataFrame:
+    """Delimited files to tabular datasets; returns (dataset, rows, status) of every file's dataset.
+
+    Files of one dialect and header are one job that writes ``path/<n>/dataset=<id>``. Without ``dataset`` (an
+    expression over ``_file``) the id is the slug of the file name. Files that cannot be read are listed
+    with the reason.
+    """
+    name = F.regexp_extract("_file", r"([^/]+?)(?:\.[^./]*)?$", 1)
+    ident = TX.slug(name, "package") if dataset is None else dataset
+    tables, rejected = TT.read_text_tables(spark, paths, prefer)
+    done = spark.createDataFrame([], "dataset string, rows bigint, status string")
+    for number, table in enumerate(tables):
+        keyed = S.drop_columns(S.coerce_types(table.df).select("*", ident.alias("dataset")))
+        *names, _, _ = S.lowercase(keyed.columns)
+        keyed = keyed.toDF(*names, "_file", "dataset").drop("_file")
+        out = f"{path}/{number}"
+        described = S.with_field_ids(keyed, partition_by=("dataset",))
+        described.write.option("compression", "zstd").partitionBy("dataset").parquet(out)
+        written = spark.read.schema(described.schema).parquet(out)
+        counts = written.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
+        status = F.concat(F.lit("OK("), F.col("rows").cast("string"), F.lit(")"))
+        done = done.unionByName(counts.withColumn("status", status))
+    failed = spark.createDataFrame(rejected, "_file string, why string")
+    reason = F.when(F.col("why") == "no rows", "empty").otherwise(F.lit("FAIL-convert"))
+    return done.unionByName(failed.select(ident.alias("dataset"), F.lit(None).cast("bigint").alias("rows"), reason.alias("status")))

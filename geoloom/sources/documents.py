@@ -26,7 +26,7 @@ def read_manifest(spark: SparkSession, path: str, entry: str = VECTOR_ENTRY) ->
     """Entries of ``{id: record}`` documents. A missing or unreadable document gives no rows."""
     empty = spark.createDataFrame([], entry)
     try:
-        texts = spark.read.text(path, wholetext=True)
+        texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     except AnalysisException:
         return empty
     records = F.from_json("value", f"map<string,struct<{entry}>>")
@@ -38,7 +38,7 @@ def read_manifest(spark: SparkSession, path: str, entry: str = VECTOR_ENTRY) ->
 
 def read_table_metadata(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
     """(fields, totals): current schema fields (file, id, name, type, doc) and (file, total_records)."""
-    documents = spark.read.text(paths, wholetext=True).select(
+    documents = spark.read.text(paths, wholetext=True, recursiveFileLookup=True).select(
         F.col("_metadata.file_path").alias("file"), F.from_json("value", TABLE_METADATA).alias("m")
     )
     current = F.get(F.filter("m.schemas", lambda s: s["schema-id"] == F.col("m.current-schema-id")), 0)
@@ -52,4 +52,4 @@ def read_table_metadata(spark: SparkSession, paths) -> tuple[DataFrame, DataFram
 def read_inventory(spark: SparkSession, paths, schema: str = LAYER_INVENTORY) -> DataFrame:
     """Records of JSON array documents, with a given schema instead of an inferring pass."""
     names = spark.createDataFrame([], schema).columns
-    return spark.read.schema(schema).json(paths, multiLine=True).select(*names)
+    return spark.read.schema(schema).json(paths, multiLine=True, recursiveFileLookup=True).select(*names)

@@ -35,9 +35,9 @@ def read_geojson_features(
 ) -> tuple[DataFrame, DataFrame]:
     """(features, rejects). ``lines`` has one feature per line and can be split; ``collection`` whole files."""
     if layout == "lines":
-        texts = spark.read.text(paths)
+        texts = spark.read.text(paths, recursiveFileLookup=True)
     elif layout == "collection":
-        texts = split_collections(spark.read.text(paths, wholetext=True))
+        texts = split_collections(spark.read.text(paths, wholetext=True, recursiveFileLookup=True))
     else:
         raise ValueError(f"unknown layout {layout!r}")
     accepted, rejects = encode_geometry(parse_features(texts, attributes))
