@@ -169,7 +169,7 @@ def s07(spark, sf):
 
 @query(
     "s08_write_index",
-    "select concat('d', cast(seq as varchar(20))) as id, 'madrid' as collection, 93 as bytes,"
+    "select concat('d', cast(seq as varchar(20))) as id, 'region' as collection, 93 as bytes,"
     " case when kind = 'vector' then cast(seq as double) else -4.58 end as xmin, title, kind, '1.1.0' as stac_version, 'Feature' as type,"
     " true as no_date from $F4",
 )
@@ -180,7 +180,7 @@ def s08(spark, sf):
     named = df.select("id", "title", "theme", "rows", "kind", F.when(F.col("kind") == "vector", box).alias("bbox"))
     kinds = [named.filter(F.col("kind") == k).drop("kind") for k in U.KIND_ORDER]
     path = scratch_path(spark, "index")
-    out = PB.build_catalog(spark, *kinds, path, "madrid", BASE, "EPSG:25830", "Provider", "CC-BY-4.0")
+    out = PB.build_catalog(spark, *kinds, path, "region", BASE, "EPSG:25830", "Provider", "CC-BY-4.0")
     return out.select(
         "id",
         "collection",

@@ -35,9 +35,9 @@ def validate_records(df: DataFrame) -> DataFrame:
     def rule(broken: Column, name: str) -> Column:
         return F.when(F.coalesce(broken, F.lit(False)), F.lit(name))
 
-    provenance = field("provenance")
-    given = provenance.isNotNull()
-    as_object = F.try_parse_json(provenance)
+    # the document is parsed once per row: a column of its own that the rules share
+    parsed = df.withColumn("_provenance", F.try_parse_json(field("provenance")))
+    given, as_object = field("provenance").isNotNull(), F.col("_provenance")
     is_object = F.coalesce(F.schema_of_variant(as_object).startswith("OBJECT"), F.lit(False))
     rules = [
         rule(~field("iceberg_endpoint").rlike(URI_PATTERN), "iceberg_endpoint"),
@@ -51,7 +51,7 @@ def validate_records(df: DataFrame) -> DataFrame:
         if name in PROVENANCE_REQUIRED:
             rules.append(rule(given & is_object & kind.isNull(), f"provenance.{name}"))
         rules.append(rule(given & is_object & (kind != "STRING"), f"provenance.{name}.type"))
-    return df.withColumn("violations", F.filter(F.array(*rules), lambda v: v.isNotNull()))
+    return parsed.withColumn("violations", F.array_compact(F.array(*rules))).drop("_provenance")
 
 
 RECORD_TEXTS = ("iceberg_endpoint", "iceberg_table", "access", "source_repo")
@@ -63,7 +63,7 @@ def records_from_json(df: DataFrame, document: str, prefix: str = "") -> DataFra
     ``prefix`` is the namespace of the keys in the document. A value that is no text becomes its JSON text,
     or an empty text for null, so that it breaks the rule of its field; an absent key is a null.
     """
-    parsed = F.try_parse_json(F.col(document))
+    parsed = F.col("_document")
 
     def member(name: str) -> Column:
         return F.try_variant_get(parsed, f'$["{prefix}{name}"]', "variant")
@@ -74,7 +74,9 @@ def records_from_json(df: DataFrame, document: str, prefix: str = "") -> DataFra
         plain = F.when(kind == "STRING", F.try_variant_get(value, "$", "string")).otherwise(F.to_json(value))
         return F.when(kind == "VOID", "").otherwise(plain).alias(name)
 
-    return df.select("*", *[text(n) for n in RECORD_TEXTS], F.to_json(member("provenance")).alias("provenance"))
+    fields = [text(n) for n in RECORD_TEXTS]
+    once = df.withColumn("_document", F.try_parse_json(F.col(document)))
+    return once.select("*", *fields, F.to_json(member("provenance")).alias("provenance")).drop("_document")
 
 
 LAYOUT_RULES = (
