@@ -64,7 +64,7 @@ def reproject_wkb(epsg: int):
     def project(geom: pa.Array) -> pa.Array:
         c = W.read_wkb(geom)
         c.x, c.y = arrays_to_wgs84(c.x, c.y, epsg)
-        return W.write_wkb(c.kind, W.nested_parts(c))
+        return W.replace_coordinates(geom, c)
 
     return project
 

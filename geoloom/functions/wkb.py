@@ -25,8 +25,11 @@ class Coordinates:
     row: np.ndarray  # per ring
     part: np.ndarray  # per ring
     count: np.ndarray  # per ring
+    area: np.ndarray  # per ring, it bounds a surface
     x: np.ndarray
     y: np.ndarray
+    at: np.ndarray  # per point, where its x lies in the bytes
+    big: np.ndarray  # per point, big-endian
 
     @property
     def point_row(self) -> np.ndarray:
@@ -53,9 +56,9 @@ class _Scan:
         self.bad[rows[~ok]] = True
         return (rows[ok], *[a[ok] for a in arrays])
 
-    def _ring(self, rows, part, pos, count, stride, big):
+    def _ring(self, rows, part, pos, count, stride, big, area=False):
         """Registers ``count`` points from ``pos``; returns the position after them."""
-        self.rings.append((rows, part, pos, count, stride, big))
+        self.rings.append((rows, part, pos, count, stride, big, np.full(len(rows), area)))
         return pos + count * stride
 
     def walk(self, rows, pos, top=True, depth=0):
@@ -139,7 +142,7 @@ class _Scan:
             fits &= count * ss <= self.end[rr] - pp - 4
             self.bad[rr[~fits]] = True
             left, rr, pp, ss, bb, count = left[fits], rr[fits], pp[fits], ss[fits], bb[fits], count[fits]
-            p[left] = self._ring(rr, part[left], pp + 4, count, ss, bb)
+            p[left] = self._ring(rr, part[left], pp + 4, count, ss, bb, area=True)
         fine = ~self.bad[r]
         return r[fine], p[fine]
 
@@ -159,13 +162,14 @@ def read_wkb(values: pa.Array) -> Coordinates:
     scan.kind[scan.bad] = 0
     empty = np.zeros(0, np.int64)
     if not scan.rings:
-        return Coordinates(scan.kind, scan.bad, empty, empty, empty, np.zeros(0), np.zeros(0))
-    row, part, pos, count, stride, big = (np.concatenate(c) for c in zip(*scan.rings))
+        none = np.zeros(0, bool)
+        return Coordinates(scan.kind, scan.bad, empty, empty, empty, none, np.zeros(0), np.zeros(0), empty, none)
+    row, part, pos, count, stride, big, area = (np.concatenate(c) for c in zip(*scan.rings))
     seq = np.arange(len(row))
     keep = ~scan.bad[row]
     order = np.lexsort((seq, part, row))
     order = order[keep[order]]
-    row, part, pos, count, stride, big = (a[order] for a in (row, part, pos, count, stride, big))
+    row, part, pos, count, stride, big, area = (a[order] for a in (row, part, pos, count, stride, big, area))
     within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     at = np.repeat(pos, count) + within * np.repeat(stride, count)
     x, y = scan.f64[0][at], scan.f64[0][at + 8]
@@ -176,8 +180,23 @@ def read_wkb(values: pa.Array) -> Coordinates:
     if hole.any():
         ring_of = np.repeat(np.arange(len(count)), count)
         count = np.bincount(ring_of[~hole], minlength=len(count))
-        x, y = x[~hole], y[~hole]
-    return Coordinates(scan.kind, scan.bad, row, part, count, x, y)
+        x, y, at, swap = x[~hole], y[~hole], at[~hole], swap[~hole]
+    return Coordinates(scan.kind, scan.bad, row, part, count, area, x, y, at, swap)
+
+
+def replace_coordinates(values: pa.Array, c: Coordinates) -> pa.Array:
+    """The same geometries with the x and y of ``c``; everything else in the bytes stays. Unreadable: null."""
+    values = values.cast(pa.binary())
+    n = len(values)
+    data = values.buffers()[2]
+    out = np.concatenate([np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), np.zeros(8, np.uint8)])
+    for order, mine in (("<f8", ~c.big), (">f8", c.big)):
+        view = np.ndarray((len(out) - 7,), order, out, strides=(1,))
+        view[c.at[mine]], view[c.at[mine] + 8] = c.x[mine], c.y[mine]
+    offsets = np.frombuffer(values.buffers()[1], np.int32, n + 1, values.offset * 4)
+    return pa.Array.from_buffers(
+        pa.binary(), n, [pa.array(c.kind > 0).buffers()[1], pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())]
+    )
 
 
 def _grouped(ufunc, values, starts):
@@ -378,14 +397,13 @@ class QueryPolygon:
             on = (_cross(q[0], q[1], q[2], q[3], px, py) == 0) & _within(q[0], q[1], q[2], q[3], px, py)
             inside = on.any(1) | (_ray_hits(px, py, q).sum(1) % 2 == 1)
             hit[point_row[lo : lo + step][inside]] = True
-        seg, seg_row = _segments(c)
+        seg, seg_row, seg_area = _segments(c)
         todo = np.flatnonzero(~hit[seg_row])
         for lo in range(0, len(todo), step):  # edges that cross
             ids = todo[lo : lo + step]
             meets = _segments_touch(tuple(a[ids, None] for a in seg), q).any(1)
             hit[seg_row[ids[meets]]] = True
-        area_row = np.isin(c.kind, (POLYGON, MULTI_POLYGON, COLLECTION))
-        todo = np.flatnonzero(~hit[seg_row] & area_row[seg_row])
+        todo = np.flatnonzero(~hit[seg_row] & seg_area)
         for cx, cy in self.corners:  # the query lies inside the geometry
             crossings = np.zeros(len(hit), np.int64)
             some = tuple(a[todo] for a in seg)
@@ -395,9 +413,9 @@ class QueryPolygon:
 
 
 def _segments(c: Coordinates):
-    """All edges of all rings, and the row of each."""
+    """All edges of all rings, the row of each, and whether it belongs to a surface."""
     last = np.zeros(len(c.x), bool)
     ends = np.cumsum(c.count)[c.count > 0] - 1
     last[ends] = True
     a = np.flatnonzero(~last)
-    return (c.x[a], c.y[a], c.x[a + 1], c.y[a + 1]), c.point_row[a]
+    return (c.x[a], c.y[a], c.x[a + 1], c.y[a + 1]), c.point_row[a], np.repeat(c.area, c.count)[a]

@@ -102,11 +102,16 @@ def encode_geometry(df: DataFrame, geometry: str = "geometry") -> tuple[DataFram
 
 
 def export_features(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """One GeoJSON Feature text per row in column ``value``, ready for ``write.text``."""
+    """One GeoJSON Feature text per row in column ``value``, ready for ``write.text``.
+
+    A geometry that cannot be written (a collection, damaged bytes) is an error, never a silent null.
+    """
     attributes = [c for c in df.columns if c not in (geom, *BBOX_NAMES, "bbox")]
     properties = F.to_json(F.struct(*[F.col(f"`{c}`") for c in attributes]), {"ignoreNullFields": "false"})
     decoded = df.withColumn("_parts", G.wkb_parts(F.col(geom)))
     geometry = G.geojson_text(G.wkb_type_code(F.col(geom)), F.col("_parts"))
+    refused = F.raise_error(F.lit("geometry cannot be written as GeoJSON")).cast("string")
+    geometry = F.when(F.col(geom).isNotNull(), F.coalesce(geometry, refused))
     return decoded.select(
         F.concat(
             F.lit('{"type":"Feature","geometry":'),

@@ -39,7 +39,8 @@ def _statistics(df: DataFrame, by: tuple[str, ...], geom: str, fold_bbox: bool)
         measures.append(F.count(source).alias(f"_given{i}"))
         if not isinstance(field.dataType, _NO_BOUNDS):
             value = _orderable(field, source)
-            measures += [F.min(value).alias(f"_lo{i}"), F.max(value).alias(f"_hi{i}")]
+            # NaN sorts last, so the minimum needs no guard per row: it is NaN only where nothing else is
+            measures += [_orderable(field, F.min(source)).alias(f"_lo{i}"), F.max(value).alias(f"_hi{i}")]
         if field.name in BBOX_NAMES:
             corners[field.name] = i
     for i, field in enumerate(fields):

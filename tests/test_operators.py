@@ -214,6 +214,26 @@ def test_features_without_geometry_or_attributes(spark):
     assert OG.export_features(df.select("geom")).first().value == '{"type":"Feature","geometry":null,"properties":{}}'
 
 
+def test_export_never_loses_a_geometry(spark):
+    collection = struct.pack("<BII", 1, 7, 1) + struct.pack("<BIdd", 1, 1, 1, 2)
+    for value in (collection, b"x"):
+        with pytest.raises(PySparkException, match="cannot be written"):
+            OG.export_features(spark.createDataFrame([(bytearray(value),)], "geom binary")).collect()
+
+
+def test_reprojection_keeps_collections(spark):
+    collection = struct.pack("<BII", 1, 7, 1) + struct.pack("<BIdd", 1, 1, 500000, 0)
+    df = OG.add_bbox(spark.createDataFrame([(1, bytearray(collection))], "id int, geom binary"))
+    row = OG.reproject(df, 25830).first()
+    assert bytes(row.geom)[:14] == collection[:14] and abs(row.xmin + 3) < 1e-9 and abs(row.ymax) < 1e-9
+
+
+def test_all_nan_column_has_no_bounds(spark):
+    df = spark.createDataFrame([(float("nan"), 1.0), (float("nan"), float("nan"))], "a double, b double")
+    got = {r.column: (r.lower, r.upper, r.null_count) for r in ST.column_stats(df).collect()}
+    assert got == {"a": (None, None, 0), "b": ("1.0", "1.0", 0)}
+
+
 def test_non_finite_geometries_are_counted(spark):
     inf = struct.pack("<BIdd", 1, 1, float("inf"), 2)
     df = spark.createDataFrame([(bytearray(inf),), (None,), (bytearray(struct.pack("<BII", 1, 3, 0)),)], "geom binary")

@@ -145,3 +145,30 @@ def test_holes_and_touching():
     assert with_hole.intersects(shapes).tolist() == [True, True, False, False]
     within = W.QueryPolygon([[[(2.5, 2.5), (3.5, 2.5), (3.5, 3.5)]]])
     assert within.intersects(shapes).tolist() == [True, False, False, False]
+
+
+def test_collections():
+    mixed = enc_multi(7, [enc_point((9, 9)), enc_line([(-1, 5), (6, 5)]), enc_polygon([SQUARE])])
+    lines = enc_multi(7, [enc_line([(0, 0), (4, 0), (4, 4)]), enc_line([(0, 4), (0, 0)])])
+    c = read([mixed, lines])
+    assert c.kind.tolist() == [7, 7] and W.bounds(c)[1].tolist() == [[-1, 0, 9, 9], [0, 0, 4, 4]]
+    inside = W.QueryPolygon([[[(1.0, 1.0), (2.0, 1.0), (2.0, 2.0)]]])
+    assert inside.intersects(c).tolist() == [True, False]
+
+
+def test_coordinates_are_replaced_in_place():
+    z = struct.pack("<BIddd", 1, 1001, 5, 6, 7)
+    values = [enc_point((1, 2), ">"), None, enc_multi(7, [enc_line([(0, 0), (5, 6)]), enc_polygon([SQUARE])]), z, b"x", enc_polygon([])]
+    a = pa.array([b"skipped", *values], pa.binary())[1:]
+    c = W.read_wkb(a)
+    c.x, c.y = c.x + 1, c.y * 2
+    got = W.replace_coordinates(a, c).to_pylist()
+    moved = [(x + 1, y * 2) for x, y in SQUARE]
+    assert got == [
+        enc_point((2, 4), ">"),
+        None,
+        enc_multi(7, [enc_line([(1, 0), (6, 12)]), enc_polygon([moved])]),
+        struct.pack("<BIddd", 1, 1001, 6, 12, 7),
+        None,
+        enc_polygon([]),
+    ]
