@@ -34,7 +34,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, attributes: str, key: str, eps
     if "batch" in done.columns:
         done = done.filter(F.col("batch") != batch_id)
     # one feature per id: the features of a batch are merged before the ledger is asked
-    single = accepted.groupBy(key).agg(F.max_by(F.struct(*accepted.columns), F.hash("*")).alias("_f")).select("_f.*")
+    single = accepted.groupBy(key).agg(F.max_by(F.struct(*accepted.columns), F.xxhash64("*")).alias("_f")).select("_f.*")
     fresh = normalise_vector(pending(single, done.select(key), key).select(*accepted.columns), epsg)
     described = with_field_ids(fresh, epsg=epsg)
     described.write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/data/{own}")
