@@ -102,7 +102,9 @@ def main():
         query()
         seconds[name] = round(time.perf_counter() - start, 3)
     scanned, total = files_per_box(spark, clustered, around)
-    before, of = files_per_box(spark, source, around)
+    unsorted = scratch_path(spark, "bench-unsorted")  # as many files, rows in no spatial order
+    vector.repartition(52).write.parquet(unsorted)
+    before, of = files_per_box(spark, unsorted, around)
     print(
         json.dumps(
             {
