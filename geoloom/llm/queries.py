@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate
+from geoloom.llm import decontaminate, packing, token_files
+from geoloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +58,17 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     documents = _documents(spark, sf).select("doc_id", "text")
     benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
     return decontaminate.digest(decontaminate.find_contamination(documents, benchmark))
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(_documents(spark, sf), vocabulary, end_id=0, with_ids=False)
+
+
+@query("op10_token_files")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_path(spark, "op10")
+    token_files.write_token_files(_documents(spark, sf), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    found = token_files.read_token_files(spark, folder)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
