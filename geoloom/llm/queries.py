@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, packing, token_files
+from geoloom.llm import decontaminate, packing, simhash, substring_dedup, token_files
 from geoloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,31 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     token_files.write_token_files(_documents(spark, sf), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     found = token_files.read_token_files(spark, folder)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query(
+    "op2_substring_dedup",
+    """
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (select doc_id, w, unnest(range(1, len(w) - 48)) as i from d where len(w) >= 50),
+g as (select doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) as h from s),
+late as (select doc_id, i from (select doc_id, i, min(doc_id) over (partition by h) as first_id from g) where doc_id > first_id),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) as p from late),
+gp as (select doc_id, list(p) as ps from gone group by doc_id),
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from d where len(w) > 0),
+kept as (select words.doc_id, string_agg(word, ' ' order by words.p) as t
+         from words left join gone on gone.doc_id = words.doc_id and gone.p = words.p where gone.p is null group by words.doc_id)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(len(ps), 0) as bigint) as n_removed,
+       sha256(coalesce(t, '')) as kept_sha256
+from d left join gp using (doc_id) left join kept using (doc_id)
+""",
+)
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _documents(spark, sf).select("doc_id", "text")
+    found = substring_dedup.remove_repeated_windows(documents)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op8_simhash_near_dedup")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, sf).select("doc_id", "text")).drop("text")
