@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, packing, simhash, substring_dedup, token_files
+from geoloom.llm import decontaminate, packing, sharding, simhash, substring_dedup, token_files
 from geoloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,17 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf).select("doc_id", "text")).drop("text")
+
+
+@query("op3_sharding")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    found = sharding.shard_documents(_documents(spark, sf).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
