@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, packing, sharding, simhash, substring_dedup, token_files
+from geoloom.llm import decontaminate, packing, quality_rules, sharding, simhash, substring_dedup, token_files
+from geoloom.llm.common import written
 from geoloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +115,55 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+_RULES = {
+    "symbols_per_word": "n_symbols / greatest(n_words, 1)",
+    "repeated_lines": "n_dup_lines / greatest(n_lines, 1)",
+    "repeated_words": "n_repeat_words / greatest(n_words, 1)",
+    "chars_per_word": "word_chars / greatest(n_words, 1)",
+}
+_FIRST_LEVEL = " ".join(
+    f"when {' or '.join(f'{_RULES[r]} > {cuts[k]}' for r, cuts in quality_rules.LADDER.items())} then {k + 1}"
+    for k in range(quality_rules.LEVELS)
+)
+
+
+@query(
+    "op6_quality_rules",
+    f"""
+with w as (select doc_id, lang, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+           from documents),
+s as (select doc_id, unnest(range(1, len(w) - 6)) as i, w from w where len(w) >= 8),
+g as (select doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') as h from s),
+twice as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, h) as n from g) where n > 1),
+rep as (select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + 8)) as p from twice) group by doc_id),
+c as (select w.doc_id, lang, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars,
+             cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+             cast(len(ls) as bigint) as n_lines, cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines,
+             cast(coalesce(rep.n, 0) as bigint) as n_repeat_words
+      from w left join rep using (doc_id)),
+b as (select *, n_words < {quality_rules.MIN_WORDS}
+                or 100 * n_repeat_words > {quality_rules.MAX_REPEATED_PERCENT} * n_words as base_failed from c),
+f as (select *, case {_FIRST_LEVEL} else {quality_rules.LEVELS + 1} end as lvl from b),
+lab as (select doc_id, min(quality) as q from labels where quality is not null group by doc_id),
+held as (select lang, lvl, q from f join lab using (doc_id) where not base_failed),
+tested as (select lang, l, count(*) filter (where q = 1) as n, count(*) filter (where q = 1 and lvl <= l) as k,
+                  count(*) filter (where q <> 1 and lvl <= l) as bad
+           from held, (select unnest(range(1, {quality_rules.LEVELS + 1})) as l) group by lang, l),
+p as (select *, case when k < n * {quality_rules.RISK} then list_sum(list_transform(range(0, k + 1), lambda j:
+                     exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0) + j * ln({quality_rules.RISK})
+                         + (n - j) * ln(1 - {quality_rules.RISK})))) else 1.0 end as tail from tested where n > 0),
+best as (select lang, first(l order by bad - {quality_rules.PENALTY} * k desc, l) as chosen from p
+         where tail <= {quality_rules.ERROR} / ((select count(*) from (select distinct lang from held)) * {quality_rules.LEVELS})
+         group by lang)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and not coalesce(lvl <= chosen, false) as kept
+from f left join best on f.lang is not distinct from best.lang
+""",
+)
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    counted = written(quality_rules.with_counts(_documents(spark, sf).select("doc_id", "lang", "text")).drop("text"), "counts")
+    levels = quality_rules.fit_levels(counted, spark.read.parquet(f"{sf}/labels.parquet"))
+    return quality_rules.judge(counted, levels).drop("lang", "n_lines")
