@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, packing, quality_rules, sharding, simhash, substring_dedup, token_files
+from geoloom.llm import decontaminate, line_dedup, packing, quality_neighbours, quality_rules, sharding, simhash, substring_dedup
+from geoloom.llm import token_files, toxicity
 from geoloom.llm.common import written
+from geoloom.llm.labelled import in_fold
 from geoloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +169,58 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     counted = written(quality_rules.with_counts(_documents(spark, sf).select("doc_id", "lang", "text")).drop("text"), "counts")
     levels = quality_rules.fit_levels(counted, spark.read.parquet(f"{sf}/labels.parquet"))
     return quality_rules.judge(counted, levels).drop("lang", "n_lines")
+
+
+def _verdicts(scored: DataFrame, folds: int, fold: int, least: float) -> DataFrame:
+    predicted = F.when(F.col("score") >= least, 1).otherwise(0)
+    return scored.select("doc_id", in_fold("doc_id", folds, fold).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _documents(spark, sf).select("doc_id", "text")
+    model = toxicity.fit(documents, spark.read.parquet(f"{sf}/labels.parquet"), ~in_fold("_id", 3, 1))
+    return _verdicts(toxicity.score_documents(documents, model), 3, 1, 0.7)
+
+
+@query("op9_quality_neighbours")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _documents(spark, sf).select("doc_id", "text")
+    model = quality_neighbours.fit(documents, spark.read.parquet(f"{sf}/labels.parquet"), ~in_fold("_id", 5, 0))
+    return _verdicts(quality_neighbours.score_documents(documents, model), 5, 0, 0.3)
+
+
+# The SQL engine's edit distance counts bytes: letters outside ASCII become one byte each first.
+_ACCENTED = "ÄÇÈÉÊÍÑÓÖÜßáâäçèéêíîñóöúü"
+_ONE_BYTE = "".join(chr(k) for k in [*range(1, 9), *range(11, 28)])
+_COUNTED = "aeinorsthl"
+
+
+@query(
+    "op7_line_dedup",
+    f"""
+with l as (select doc_id, text, unnest(string_split(text, chr(10))) as line, unnest(range(0, len(string_split(text, chr(10))))) as pos
+           from documents where text is not null),
+j as (select *, doc_id * 4294967296 + pos as place from l where length(line) >= {line_dedup.MIN_CHARS} and doc_id is not null),
+u as (select line, min(place) as first_place, length(line) as n,
+             translate(line, '{_ACCENTED}', '{_ONE_BYTE}') as bytes,
+             {', '.join(f"length(replace(line, '{c}', '')) as n_{c}" for c in _COUNTED)}
+      from j group by line),
+x as (select *, unnest(range(n - {line_dedup.THRESHOLD}, n + {line_dedup.THRESHOLD + 1})) as m from u),
+near as (select x.line, min(u.first_place) as near_place from x join u on x.m = u.n and x.line <> u.line
+             {' '.join(f"and abs((x.n - x.n_{c}) - (u.n - u.n_{c})) <= {line_dedup.THRESHOLD}" for c in _COUNTED)}
+             and levenshtein(x.bytes, u.bytes) <= {line_dedup.THRESHOLD}
+         group by x.line),
+gone as (select j.doc_id, j.pos from j join u using (line) left join near using (line)
+         where j.place > least(u.first_place, coalesce(near_place, u.first_place))),
+kept as (select l.doc_id, string_agg(line, chr(10) order by l.pos) as t from l left join gone
+         on l.doc_id = gone.doc_id and l.pos = gone.pos where gone.pos is null group by l.doc_id),
+n as (select doc_id, count(*) as n_removed from gone group by doc_id)
+select d.doc_id, cast(coalesce(len(string_split(d.text, chr(10))), 0) as bigint) as n_lines,
+       cast(coalesce(n_removed, 0) as bigint) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from documents d left join n using (doc_id) left join kept using (doc_id)
+""",
+)
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    found = line_dedup.dedup_lines(_documents(spark, sf).select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
