@@ -23,6 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.llm.common import written
+
 # The base rules.
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = "#*$%&|<>"
@@ -195,8 +197,11 @@ def filter_documents(documents: DataFrame, labels: DataFrame, stratum: str = "la
     """Documents that are kept, with their columns unchanged."""
     names = {c: f"_own_{i}" for i, c in enumerate(documents.columns)}
     own = documents.withColumnsRenamed(names)
-    counted = with_counts(own.select(names[doc_id], names[stratum], names[text]), names[text])
+    counted = with_counts(own.select(names[doc_id], names[stratum], names[text]), names[text]).drop(names[text])
+    counted = written(counted, "counts")
     levels = fit_levels(counted, labels, names[stratum], names[doc_id])
-    kept = judge(with_counts(own, names[text]), levels, names[stratum]).filter("kept")
+    # The counts are costly: a row number that the filter reads keeps the optimizer from computing them inside it.
+    rated = judge(with_counts(own, names[text]).withColumn("_row", F.monotonically_increasing_id()), levels, names[stratum])
+    kept = rated.filter(F.col("kept") & (F.col("_row") >= 0))
     return kept.select(*[F.col(v).alias(k) for k, v in names.items()])
 

@@ -209,10 +209,15 @@ def component_table(prints: DataFrame) -> DataFrame:
     return found.select("_print", F.coalesce("root", "doc_id").alias("component_id"))
 
 
-def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """Documents with ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id of their group."""
+def near_duplicates(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, carry: list[str] | None = None
+) -> DataFrame:
+    """Documents with ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id of their group.
+
+    ``carry``: the columns of the result besides these (all, if not given); the text is read once in any case.
+    """
     added = T.StructType([T.StructField("fingerprint", T.StringType()), T.StructField("component_id", T.LongType())])
-    keep, _ = added_to(documents, added)
+    keep = [c for c in added_to(documents, added)[0] if carry is None or c in carry]
     prints = written(_with_prints(documents.withColumn("_id", F.col(doc_id).cast("long")), text, [*keep, "_id"], shingle), "fingerprints")
     table = component_table(prints.select(F.col("_id").alias("doc_id"), "_print"))
     found = prints.join(table.withColumnRenamed("_print", "_p"), F.col("_print") == F.col("_p"), "left")
@@ -222,6 +227,6 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
 
 def drop_near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """Documents but those of a group in which a smaller id stays; their columns are unchanged."""
-    found = near_duplicates(documents.select(doc_id, text), doc_id, text, shingle)
+    found = near_duplicates(documents.select(doc_id, text), doc_id, text, shingle, [doc_id])
     gone = found.filter(F.col("component_id") < F.col(doc_id)).select(F.col(doc_id).alias("_gone")).distinct()
     return documents.join(gone, documents[doc_id] == gone["_gone"], "left_anti")
