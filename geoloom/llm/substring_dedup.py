@@ -4,10 +4,12 @@
    Equal windows have equal anchors, so an anchor's count is never below a window's. Each task counts its anchors into
    a count-min sketch; the partial sketches are shuffled by block of cells and added up, saturating at two. Of the
    merged sketch only one bit a cell travels on (two or more, or not), at most ``MAX_CELLS / 8`` bytes a row.
-2. Windows whose estimate is one are in one document only and are left out. The others are grouped exactly, by 128
-   bits of hash of their words: the smallest document of each is found with partial aggregates, then joined back, so a
-   window that a third of all documents share is one row a task on one side and a splittable join on the other.
-3. The words covered by a window with a smaller document are removed.
+2. Windows whose estimate is one are in one document only and are left out. The others are grouped exactly, by 96
+   bits of hash of their words. Of the documents with a window in one slice of a task, only the smallest has to be
+   compared with the rest of the table; in all others the window goes already. So a window that a third of all
+   documents share sends one row a slice into the shuffle.
+3. The words covered by a window with a smaller document are removed. Documents that lose nothing, told apart by a
+   bitmap of bounded size, are not shuffled.
 
 The sketch only saves work: were it full, all windows would be grouped, and the result would be the same.
 
@@ -22,12 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from geoloom.llm import arrowtext as at
+from geoloom.llm.bitmaps import Bitmap
 from geoloom.llm.common import added_to, written
 
 WINDOW = 50
@@ -147,39 +150,50 @@ def _repeated(bits: np.ndarray, width: int, anchor: np.ndarray) -> np.ndarray:
     return found
 
 
-def _candidates(bits, width: int, window: int):
-    names = ["w1", "w2", "doc_id", "text_hash", "place"]
+FOUND = "w1 long, w2 int, doc_id long, mark int, place int, n int, late boolean"
+_FOUND_NAMES = [c.split()[0] for c in FOUND.split(", ")]
+
+
+def _group(a: np.ndarray, b: np.ndarray, ids: np.ndarray, mark: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+    """Columns of ``FOUND`` of a slice's windows: equal windows that follow one another in a text are one row of
+    ``n``; ``late`` if a smaller document of the slice has the window."""
+    order = np.lexsort((place, mark, ids, b, a))
+    a, b, ids, mark, place = a[order], b[order], ids[order], mark[order], place[order]
+    window = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+    run = np.append(True, window[1:] | (ids[1:] != ids[:-1]) | (mark[1:] != mark[:-1]) | (place[1:] != place[:-1] + 1))
+    smallest = ids[np.maximum.accumulate(np.where(window, np.arange(len(a)), 0))]
+    rows = np.flatnonzero(run)
+    late = (ids > smallest)[rows]
+    a = a[rows].copy()
+    # Rows that are settled need no partner: they are spread evenly.
+    a[late] = at.pair(a[late], at.pair(ids[rows][late].view(np.uint64), place[rows][late].astype(np.uint64)))
+    return [a.view(np.int64), b[rows], ids[rows], mark[rows], place[rows], np.diff(np.append(rows, len(order))).astype(np.int32), late]
 
+
+def _candidates(bits, width: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = bits.value
         for batch in batches:
             ids = batch.column(0)
             has_id = ids.is_valid().to_numpy(zero_copy_only=False)
             ids = ids.fill_null(0).to_numpy()
-            text_hash = batch.column(2).to_numpy()
+            mark = batch.column(2).to_numpy()
             for low, _, own in _slices(batch, 1, window):
                 which = np.flatnonzero(_repeated(sketch, width, own.anchor) & has_id[low + own.doc])
-                a, b = own.hashes(window, own.at[which]) if len(which) else (np.zeros(0, np.uint64),) * 2
+                if not len(which):
+                    continue
+                a, b = own.hashes(window, own.at[which])
                 doc = own.doc[which]
-                place = own.at[which] - own.first[doc]
-                for k in range(0, len(which), 100_000):
-                    s = slice(k, k + 100_000)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(a[s].view(np.int64)),
-                            pa.array(b[s].view(np.int64)),
-                            pa.array(ids[low + doc[s]], pa.int64()),
-                            pa.array(text_hash[low + doc[s]], pa.int64()),
-                            pa.array(place[s].astype(np.int32)),
-                        ],
-                        names=names,
-                    )
+                place = (own.at[which] - own.first[doc]).astype(np.int32)
+                columns = _group(a, (b >> np.uint64(32)).astype(np.uint32).view(np.int32), ids[low + doc], mark[low + doc], place)
+                for k in range(0, len(columns[0]), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 100_000]) for c in columns], names=_FOUND_NAMES)
 
     return run
 
 
 def _cut(column: int, keep: list[int], added: pa.Schema, window: int, fields: pa.Schema):
-    """Removes the words covered by the windows at the places listed in the last column."""
+    """Removes the words covered by the runs of windows (first place, number) listed in the last column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,9 +205,10 @@ def _cut(column: int, keep: list[int], added: pa.Schema, window: int, fields: pa
                 change = np.zeros(len(starts) + 1, dtype=np.int64)
                 for k in range(low, high):
                     if lists[k].is_valid:
-                        at_ = np.asarray(lists[k].values.to_numpy(), dtype=np.int64) + first[k - low]
-                        change[at_] += 1
-                        change[at_ + window] -= 1
+                        runs = lists[k].values
+                        at_ = runs.field(0).to_numpy().astype(np.int64) + first[k - low]
+                        np.add.at(change, at_, 1)
+                        np.add.at(change, at_ + runs.field(1).to_numpy() - 1 + window, -1)
                 stay = np.cumsum(change)[:-1] == 0
                 n = np.diff(first)
                 kept = np.concatenate([[0], np.cumsum(stay)])
@@ -225,23 +240,28 @@ def remove_repeated_windows(documents: DataFrame, doc_id: str = "doc_id", text:
     spark = documents.sparkSession
     width = sketch_width(documents, text)
     block = min(BLOCK, width)
-    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    mark = F.hash(text)  # tells rows of one id with other texts apart
+    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), mark.alias("mark"))
     partial = rows.select("doc_id", "text").mapInArrow(_partial_sketches(width, window), "slot int, cells binary")
     merged = partial.repartition("slot").mapInArrow(_merge(block), "slot int, bits binary")
     bits = np.zeros(DEPTH * width // 8, dtype=np.uint8)
-    for slot, own in merged.toLocalIterator():
+    for slot, own in merged.collect():  # DEPTH * MAX_CELLS bits at most
         bits[slot * block // 8 : (slot + 1) * block // 8] = np.frombuffer(own, np.uint8)
     sent = spark.sparkContext.broadcast(bits)
-    found = rows.mapInArrow(_candidates(sent, width, window), "w1 long, w2 long, doc_id long, text_hash long, place int")
-    found = written(found, "windows")
-    smallest = found.groupBy("w1", "w2").agg(F.min("doc_id").alias("smallest"))
-    late = found.join(smallest, ["w1", "w2"]).filter("doc_id > smallest")
-    late = late.groupBy("doc_id", "text_hash").agg(F.collect_list("place").alias("_places"))
-    late = late.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    found = rows.mapInArrow(_candidates(sent, width, window), FOUND)
+    smallest = F.min("doc_id").over(Window.partitionBy("w1", "w2"))
+    late = found.withColumn("_smallest", smallest).filter("late or doc_id > _smallest")
+    late = late.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("place", "n")).alias("_runs"))
+    late = written(late.withColumnsRenamed({"doc_id": "_id", "mark": "_mark"}), "late-windows")
+
+    losing = Bitmap(late.select(F.xxhash64("_id", "_mark").alias("_key")), "_key", late.count())
+    keyed = documents.select("*", F.col(doc_id).cast("long").alias("_doc"), mark.alias("_own"))
+    keyed = losing.marked(keyed.withColumn("_key", F.xxhash64("_doc", "_own")), "_key", "_hit")
+    columns = [*documents.columns, "_runs"]
+    joined = keyed.filter("_hit").join(late, (F.col("_doc") == F.col("_id")) & (F.col("_own") == F.col("_mark")), "left")
+    none = F.lit(None).cast(late.schema["_runs"].dataType)
+    every = joined.select(*columns).unionAll(keyed.filter("not _hit").withColumn("_runs", none).select(*columns))
     keep, schema = added_to(documents, ADDED)
-    hashed = documents.withColumn("_text_hash", F.xxhash64(text))
-    joined = hashed.join(late, (hashed[doc_id].cast("long") == late["_id"]) & (hashed["_text_hash"] == late["_hash"]), "left")
-    joined = joined.select(*[hashed[c] for c in documents.columns], "_places")
     positions = [documents.columns.index(c) for c in keep]
     run = _cut(documents.columns.index(text), positions, to_arrow_schema(ADDED), window, to_arrow_schema(documents.schema))
-    return joined.mapInArrow(run, schema)
+    return every.mapInArrow(run, schema)
