@@ -295,6 +295,21 @@ def w03(spark, sf):
     return W.progress(runs, "publisher", "id", block_rows=1000)
 
 
+@query(
+    "w03_progress_null_keys",
+    "select id, status, publisher, row_number() over w as i, count(*) over (partition by publisher) as total"
+    f" from (select case when id % 11 = 0 and id % 7 = 0 then null else id end as id, {_STATUS} as status,"
+    " case when id % 7 = 0 then null else 'p' || id % 5 end as publisher from $F8 where id % 77 <> 0 or id = 77)"
+    " window w as (partition by publisher order by id nulls first rows between unbounded preceding and current row)",
+)
+def w03_null_keys(spark, sf):
+    """A seventh of the runs has no publisher, one of them no sequence number."""
+    runs = results(spark, sf).filter("id % 77 <> 0 or id = 77")
+    publisher = F.when(F.col("id") % 7 != 0, F.concat(F.lit("p"), (F.col("id") % 5).cast("string")))
+    runs = runs.withColumn("publisher", publisher).withColumn("id", F.expr("case when id = 77 then null else id end"))
+    return W.progress(runs, "publisher", "id", block_rows=1000).select("id", "status", "publisher", "i", "total")
+
+
 # --- set operations -----------------------------------------------------------------------------------------
 
 
@@ -488,8 +503,9 @@ def q02(spark, sf):
 @query(
     "q03_audit_geometries",
     "select 'before' as stage, count(*) as rows, cast(count_if(geom_state = 'null') as bigint) as null_geometries,"
-    " cast(count_if(geom_state = 'empty') as bigint) as empty_geometries, cast(0 as bigint) as non_finite_bbox from $F2 union all"
-    " select 'after', cast(count_if(geom_state = 'polygon') as bigint), 0, 0, 0 from $F2",
+    " cast(count_if(geom_state = 'empty') as bigint) as empty_geometries, cast(0 as bigint) as unreadable_geometries,"
+    " cast(0 as bigint) as non_finite_bbox from $F2 union all"
+    " select 'after', cast(count_if(geom_state = 'polygon') as bigint), 0, 0, 0, 0 from $F2",
 )
 def q03(spark, sf):
     df = C.boxes(spark, sf)
@@ -497,6 +513,19 @@ def q03(spark, sf):
     return before.unionByName(Q.audit_geometries(OG.drop_null_or_empty_geometry(df)).withColumn("stage", F.lit("after")))
 
 
+@query(
+    "q03_unreadable",
+    "select part_key, count(*) as rows, cast(count_if(geom_state = 'null') as bigint) as null_geometries,"
+    " cast(count_if(geom_state = 'empty' and id % 5 <> 0) as bigint) as empty_geometries,"
+    " cast(count_if(geom_state <> 'null' and id % 5 = 0) as bigint) as unreadable_geometries, cast(0 as bigint) as non_finite_bbox"
+    " from $F2 group by part_key",
+)
+def q03_unreadable(spark, sf):
+    """Every fifth geometry is cut short by three bytes."""
+    cut = F.expr("case when id % 5 = 0 then substring(geom, 1, length(geom) - 3) else geom end")
+    return Q.audit_geometries(C.boxes(spark, sf).withColumn("geom", cut), by=("part_key",))
+
+
 @query(
     "q04_verify_migration",
     "select id, c as counts_equal, a as href_absolute, i as identified, r as remote_href, c and a and i and r as ok from"

@@ -59,6 +59,31 @@ def s01_orders(spark, sf):
     return TT.read_text_table(spark, [path]).select("key", F.col("situación").alias("estado"), "importe")
 
 
+def _wide(columns):
+    """Columns of a wide file: texts, and a number in the last three."""
+    texts = [F.concat(F.lit(f"t{i}-"), F.col("o_orderkey").cast("string")).alias(f"c{i}") for i in range(columns - 3)]
+    return [*texts, F.col("o_orderkey").alias("k"), F.round("o_totalprice", 2).cast("string").alias("price"), (F.col("o_orderkey") % 7).alias("digit")]
+
+
+@query(
+    "s01_wide_files",
+    "select files, header, cast(o_orderkey as varchar) as \"key\", cast(o_orderkey % 7 as varchar) as digit from orders,"
+    " (values ('plain', false), ('named', true)) f(files, header)",
+)
+def s01_wide(spark, sf):
+    """Seventy-three columns of which only the last three are typed, with and without a header line."""
+    path = scratch_path(spark, "wide")
+    df = table(spark, sf, "orders").select(*_wide(73))
+    for name, header in (("plain", False), ("named", True)):
+        df.coalesce(2).write.option("header", header).option("sep", ";").csv(f"{path}/{name}")
+    tables, _ = TT.read_text_tables(spark, [path])
+    parts = []
+    for t in tables:
+        key, digit = (F.col(f"`{t.df.columns[i]}`") for i in (70, 72))
+        parts.append(t.df.select(F.regexp_extract("_file", "wide[^/]*/([a-z]+)/", 1).alias("files"), F.lit(t.header).alias("header"), key.alias("key"), digit.alias("digit")))
+    return reduce(lambda a, b: a.unionAll(b), parts)
+
+
 def _features(spark, sf):
     f = fixture(spark, sf, "F2")
     geometry = F.coalesce(_feature_text(f), F.lit("null"))
@@ -90,6 +115,30 @@ def s02(spark, sf):
     return _both(*GJ.read_geojson_features(spark, path, "lines", ATTRIBUTES, C.EPSG))
 
 
+_BROKEN = "case id % 4 when 0 then 'no JSON' when 1 then 'no JSON' when 2 then 'attribute of another type' else 'no feature' end"
+
+
+@query(
+    "s02_broken_lines",
+    f"select case when id % 3 = 0 then null else id end as id, case when id % 3 = 0 then {_BROKEN} when {_GOOD} then 'ok' else 'geometry' end as status from $F2",
+)
+def s02_broken(spark, sf):
+    """Every third line is no feature: cut in half, plain text, a wrong attribute type, another object."""
+    text = F.col("value")
+    kinds = [
+        F.substr(text, F.lit(1), (F.length(text) / 2).cast("int")),
+        F.concat(F.lit("garbage "), F.col("id").cast("string")),
+        F.regexp_replace(text, '"id":[0-9]+', '"id":"x"'),
+        F.regexp_replace(text, '"type":"Feature"', '"type":"Thing"'),
+    ]
+    broken = F.element_at(F.array(*kinds), (F.col("id") % 4 + 1).cast("int"))
+    lines = _features(spark, sf).select(F.when(F.col("id") % 3 == 0, broken).otherwise(text).alias("value"))
+    path = scratch_path(spark, "broken")
+    lines.write.text(path)
+    good, bad = GJ.read_geojson_features(spark, path, "lines", ATTRIBUTES, C.EPSG)
+    return good.select("id", F.lit("ok").alias("status")).unionByName(bad.select("id", F.col("why").alias("status")))
+
+
 @query("s02_read_feature_collections", _GEOJSON)
 def s02_collections(spark, sf):
     """Whole collection documents of at most one thousand features each."""
@@ -276,6 +325,31 @@ def incremental(spark, sf):
     return spark.read.parquet(f"{target}/data").select("id", "part_key", "attr", "xmin", "ymax")
 
 
+@query(
+    "l02_ingest_without_ids",
+    f"select case when id % 2 = 0 then id end as id, part_key, attr, x0 as xmin from $F2 where geom_state = 'polygon' and ({_GOOD})",
+)
+def incremental_without_ids(spark, sf):
+    """Half of the features have no id: none of them is merged away."""
+    base = scratch_path(spark, "ingest")
+    value = F.when(F.col("id") % 2 == 0, F.col("value")).otherwise(F.regexp_replace("value", '"id":[0-9]+,', ""))
+    _features(spark, sf).select(value.alias("value")).write.text(f"{base}/landing")
+    IN.ingest_features(spark, f"{base}/landing", f"{base}/target", ATTRIBUTES).awaitTermination()
+    return spark.read.parquet(f"{base}/target/data").select("id", "part_key", "attr", "xmin")
+
+
+@query(
+    "l01_publish_attribute_clash",
+    "select id, 'b' || id as bbox, id % 7 as xmin_1, x0 as xmin from $F2 where geom_state = 'polygon'",
+)
+def publish_clash(spark, sf):
+    """Attributes called like the box: a text ``bbox`` and a number ``Xmin`` are kept beside the real box."""
+    source = C.boxes(spark, sf).select("id", (F.col("id") % 7).alias("Xmin"), F.concat(F.lit("b"), F.col("id").cast("string")).alias("bbox"), "geom")
+    path = scratch_path(spark, "clash")
+    PB.publish_vector(C.with_srid(source, C.EPSG), path, C.EPSG)
+    return spark.read.parquet(path).select("id", "bbox", "xmin_1", "xmin")
+
+
 @query(
     "l03_catalog_page",
     "select id, kind, greatest(n - 500, 0) as remaining, 'D' || substr(id, 2) as label from"

@@ -256,6 +256,23 @@ def r02(spark, sf):
     return R.overviews(cells(spark, sf), size=16).drop("layer")
 
 
+@query(
+    "r02_overviews_layers",
+    "with recursive l as (select case when col < 16 and cell_row < 16 then 'small' when col < 48 and cell_row < 40 then 'middle' else 'wide' end"
+    " as layer, col, cell_row, value from $F7),"
+    " d as (select layer, greatest(ceil(log2(greatest(max(col) + 1, max(cell_row) + 1) / 16.0)), 0) as depth from l group by layer),"
+    " p(layer, level, col, cell_row, value) as (select layer, 0, col, cell_row, value from l union all"
+    " select p.layer, level + 1, col // 2, cell_row // 2, value from p join d using (layer)"
+    " where col % 2 = 0 and cell_row % 2 = 0 and level < depth)"
+    " select layer, level, cast(col as bigint) as col, cast(cell_row as bigint) as \"row\", value from p where level > 0",
+)
+def r02_layers(spark, sf):
+    """Three layers of different size; each has its own depth."""
+    small, middle = (F.col("col") < 16) & (F.col("row") < 16), (F.col("col") < 48) & (F.col("row") < 40)
+    layer = F.when(small, "small").when(middle, "middle").otherwise("wide")
+    return R.overviews(cells(spark, sf).withColumn("layer", layer), size=16)
+
+
 @query(
     "r03_raster_extent",
     "select id, round(min(coalesce(lon, -4.58)), 7) as min_lon, round(min(coalesce(lat, 39.88)), 7) as min_lat,"

@@ -45,6 +45,17 @@ def wkb_bbox(geom: pa.Array) -> pa.Array:
     return _bbox_array(W.read_wkb(geom))
 
 
+CHECKED_BOX_TYPE = T.StructType([*BBOX_TYPE, T.StructField("unreadable", T.BooleanType())])
+
+
+@F.arrow_udf(CHECKED_BOX_TYPE)
+def checked_bbox(geom: pa.Array) -> pa.Array:
+    """Bounds, null where a geometry has none, and whether its bytes could not be read; never null as a whole."""
+    c = W.read_wkb(geom)
+    box = _bbox_array(c)
+    return pa.StructArray.from_arrays([*box.flatten(), pa.array(c.bad)], [*BBOX_NAMES, "unreadable"])
+
+
 def wgs84_bbox(epsg: int):
     """Arrow function ``geom -> bounds`` of the geometry after every vertex is re-projected."""
 

@@ -12,13 +12,23 @@ from geoloom.functions.geometry import BBOX_NAMES
 from geoloom.operators.schema import canonical_order, srid_of, with_srid
 
 
-def add_bbox(df: DataFrame, geom: str = "geom") -> DataFrame:
+def refuse_unreadable(df: DataFrame, geom: str = "geom", flag: str = "unreadable") -> DataFrame:
+    """``df`` without the flag column; a damaged geometry is an error, never a row that goes missing."""
+    wrong = F.raise_error(F.concat(F.lit("geometry cannot be read: "), F.hex(F.substring(geom, 1, 16)))).cast("boolean")
+    return df.filter(F.when(F.col(flag), wrong).otherwise(F.lit(True))).drop(flag)
+
+
+def add_bbox(df: DataFrame, geom: str = "geom", flag: str | None = None) -> DataFrame:
     """Per-row ``xmin, ymin, xmax, ymax`` in native units, one pass over the geometry.
 
+    ``flag`` names a further column that tells whether the bytes could not be read.
+
     The four columns come out of one generator. A later filter on them therefore stays above it and does
     not make the Arrow function run a second time, while filters on other columns still reach the scan.
     """
     others = [F.col(f"`{c}`") for c in df.columns if c not in BBOX_NAMES]
+    if flag:
+        return df.select(*others, F.inline_outer(F.array(G.checked_bbox(F.col(geom)))).alias(*BBOX_NAMES, flag))
     return df.select(*others, F.inline_outer(F.array(G.wkb_bbox(F.col(geom)))).alias(*BBOX_NAMES))
 
 

@@ -150,5 +150,5 @@ def row_count(datasets: DataFrame, totals: DataFrame, counted: DataFrame) -> Dat
     return (
         datasets.join(totals.select("id", "total_records"), "id", "left")
         .join(counted.select("id", F.col("n").alias("_counted")), "id", "left")
-        .select("id", F.coalesce(F.when(F.col("partitioned"), stated.cast("bigint")), F.col("_counted")).alias("n"))
+        .select("id", F.coalesce(F.when(F.col("partitioned"), stated.try_cast("bigint")), F.col("_counted")).alias("n"))
     )

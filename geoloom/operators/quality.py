@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.functions.geometry import wkb_bbox
+from geoloom.functions.geometry import checked_bbox
 from geoloom.functions.guards import is_finite
 
 # Fixed values of the record extension.
@@ -122,16 +122,17 @@ def audit_layout(columns: DataFrame) -> DataFrame:
 
 
 def audit_geometries(df: DataFrame, geom: str = "geom", by: tuple[str, ...] = ()) -> DataFrame:
-    """Counts of null, empty and non-finite geometries; all must be zero after the empty-geometry filter."""
-    box = df.select(*by, F.col(geom).isNull().alias("_null"), wkb_bbox(F.col(geom)).alias("_b"))
+    """Counts of null, empty, damaged and non-finite geometries; all must be zero after the empty-geometry filter."""
+    box = df.select(*by, F.col(geom).isNull().alias("_null"), checked_bbox(F.col(geom)).alias("_b"))
     infinite = F.lit(False)
     for c in BBOX:
         infinite = infinite | ~is_finite(F.col(f"_b.{c}"))
     return box.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if("_null").alias("null_geometries"),
-        F.count_if(~F.col("_null") & F.col("_b").isNull()).alias("empty_geometries"),
-        F.count_if(F.col("_b").isNotNull() & infinite).alias("non_finite_bbox"),
+        F.count_if(~F.col("_null") & F.col("_b.xmin").isNull() & ~F.col("_b.unreadable")).alias("empty_geometries"),
+        F.count_if("_b.unreadable").alias("unreadable_geometries"),
+        F.count_if(F.col("_b.xmin").isNotNull() & infinite).alias("non_finite_bbox"),
     )
 
 

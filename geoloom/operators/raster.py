@@ -53,16 +53,17 @@ def overviews(cells: DataFrame, levels: int | None = None, size: int = 512) -> D
     has column and row divisible by ``2^level``; each base cell therefore knows on its own in which levels
     it appears, and the pyramid needs neither shuffle nor more than one pass.
     """
+    depth = F.lit(levels)
     if levels is None:
-        shape = cells.agg((F.max("col") + 1).alias("w"), (F.max("row") + 1).alias("h"))
-        levels = shape.select(overview_levels(F.col("w"), F.col("h"), size)).first()[0] or 0
-    if levels == 0:
-        empty = cells.limit(0)
-        return empty.select("layer", F.lit(0).alias("level"), "col", "row", "value")
+        # one row per layer; a layer's depth follows its own size
+        shape = cells.groupBy("layer").agg((F.max("col") + 1).alias("_w"), (F.max("row") + 1).alias("_h"))
+        depths = shape.select(F.col("layer").alias("_layer"), overview_levels(F.col("_w"), F.col("_h"), size).alias("_depth"))
+        cells = cells.join(depths, F.col("layer").eqNullSafe(F.col("_layer"))).drop("_layer")
+        depth = F.col("_depth")
     both = F.col("col").bitwiseOR(F.col("row"))
     trailing_zeros = F.bit_count(both.bitwiseAND(-both) - 1)
-    on_grid = cells.filter(F.pmod(both, F.lit(2)) == 0)
-    coarse = on_grid.withColumn("level", F.explode(F.sequence(F.lit(1), F.least(F.lit(levels), trailing_zeros))))
+    on_grid = cells.filter((F.pmod(both, F.lit(2)) == 0) & (depth > 0))
+    coarse = on_grid.withColumn("level", F.explode(F.sequence(F.lit(1), F.least(depth, trailing_zeros))))
 
     def halved(name: str) -> Column:
         return F.call_function("shiftright", F.col(name), F.col("level")).alias(name)

@@ -36,6 +36,7 @@ def outcome(status: Column) -> Column:
 def progress(results: DataFrame, by: str, seq: str = "seq", status: str = "status", block_rows: int = 1_000_000) -> DataFrame:
     """Running ``i``, ``ok``, ``fail`` and the final ``total`` per group, in order of an integer sequence.
 
+    A null group is a group; rows without a sequence number come first in theirs.
     The sequence (unique within a group) is cut into blocks of ``block_rows``. Rows are numbered inside
     their block; the sums of the blocks before are added, so no task has to sort a whole group.
     """
@@ -47,13 +48,13 @@ def progress(results: DataFrame, by: str, seq: str = "seq", status: str = "statu
     group = Window.partitionBy(by)
     before = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        by,
-        "_block",
+        F.col(by).alias("_by"),
+        F.col("_block").alias("_at"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_i0"),
         F.coalesce(F.sum("_oks").over(before), F.lit(0)).alias("_ok0"),
         F.sum("_n").over(group).alias("total"),
     )
-    joined = local.join(offsets, [by, "_block"])
+    joined = local.join(offsets, F.col(by).eqNullSafe(F.col("_by")) & F.col("_block").eqNullSafe(F.col("_at")))
     i, ok = F.col("_i") + F.col("_i0"), F.col("_okrun") + F.col("_ok0")
     return joined.select(
         *results.columns, i.alias("i"), ok.alias("ok"), (i - ok).alias("fail"), "total"

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoloom.functions import text as TX
+from geoloom.functions.geometry import BBOX_NAMES
 from geoloom.operators import catalog as K
 from geoloom.operators import geometry as OG
 from geoloom.operators import quality as Q
@@ -17,14 +19,36 @@ from geoloom.sources import datasets as D
 from geoloom.sources import text_tables as TT
 
 
+def _is_box(kind: T.DataType) -> bool:
+    return isinstance(kind, T.StructType) and [f.name for f in kind] == list(BBOX_NAMES)
+
+
+def _set_aside(df: DataFrame, boxes: list[str]) -> DataFrame:
+    """Renames attributes that only after lower-casing are called like a box column; ``boxes`` are real ones."""
+    names, taken = [], {*df.columns}
+    for name in df.columns:
+        if name in BBOX_NAMES and name not in boxes:
+            n = len(names)
+            while f"{name}_{n}" in taken:
+                n += 1
+            name = f"{name}_{n}"
+            taken.add(name)
+        names.append(name)
+    return df.toDF(*names)
+
+
 def normalise_vector(df: DataFrame, epsg: int, profile: str = "strict") -> DataFrame:
     """Row-level part of the vector job: names, types, bbox, empty geometries out, column order.
 
-    Narrow: no shuffle, and the geometry is read by Python once.
+    Narrow: no shuffle, and the geometry is read by Python once. A box struct of the source goes, an attribute that
+    happens to be called ``bbox`` stays, and one called like a box column gets the suffix of a repeated name. A
+    geometry that cannot be read fails the job.
     """
-    plain = S.drop_columns(df.drop("bbox"))
-    typed = S.coerce_types(S.lowercase_names(plain), profile)
-    boxed = OG.add_bbox(typed)
+    boxes = [f.name for f in df.schema if f.name == "bbox" and _is_box(f.dataType)]
+    plain = S.lowercase_names(S.drop_columns(df.drop(*boxes) if boxes else df))
+    own = [f.name for f in df.schema if f.name in BBOX_NAMES]
+    aside = _set_aside(plain, own)
+    boxed = OG.refuse_unreadable(OG.add_bbox(S.coerce_types(aside, profile), flag="_unreadable"), flag="_unreadable")
     return S.with_srid(S.canonical_order(OG.drop_null_or_empty_geometry(boxed)), epsg)
 
 

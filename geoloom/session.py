@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,13 +33,15 @@ def build_session(name: str = "geoloom", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
+    """Folder every executor can reach: the session's ``spark.checkpoint.dir`` or the context's checkpoint folder.
 
-    Only where that is unset (a local test session) a temporary folder is made and set.
+    Only where both are unset and everything runs in one process (a local test session) a temporary folder is made.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = getattr(spark, "_geoloom_local_dir", None)
     if local is None:
         local = tempfile.mkdtemp(prefix="geoloom-")

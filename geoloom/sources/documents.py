@@ -27,7 +27,9 @@ def read_manifest(spark: SparkSession, path: str, entry: str = VECTOR_ENTRY) ->
     empty = spark.createDataFrame([], entry)
     try:
         texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return empty
     records = F.from_json("value", f"map<string,struct<{entry}>>")
     exploded = texts.select(F.explode(records).alias("_key", "_entry"))

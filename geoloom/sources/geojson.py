@@ -15,10 +15,33 @@ def parse_features(texts: DataFrame, attributes: str | None = None) -> DataFrame
 
     ``attributes`` is the DDL of the properties; without it they stay one string map.
     """
-    kind = f"struct<{attributes}>" if attributes else "map<string,string>"
-    parsed = texts.select(F.from_json("value", f"geometry string, properties {kind}").alias("f"))
+    parsed = _parsed(texts, attributes).filter("_why is null")
     picked = F.col("f.properties.*") if attributes else F.col("f.properties").alias("properties")
-    return parsed.filter(F.col("f").isNotNull()).select(picked, F.col("f.geometry").alias("geometry"))
+    return parsed.select(picked, F.col("f.geometry").alias("geometry"))
+
+
+def _parsed(texts: DataFrame, attributes: str | None) -> DataFrame:
+    """``value``, the parsed feature ``f``, and ``_why`` where it is none; blank lines are left out."""
+    kind = f"struct<{attributes}>" if attributes else "map<string,string>"
+    shape = f"type string, geometry string, properties {kind}, _corrupt string"
+    lines = texts.filter(F.trim("value") != "")
+    read = lines.select("value", F.from_json("value", shape, {"columnNameOfCorruptRecord": "_corrupt"}).alias("f"))
+    # a text that parses, but whose attributes do not fit their types, is corrupt as well
+    whole = F.try_parse_json("value").isNotNull()
+    why = F.when(~whole, "no JSON").when(F.col("f._corrupt").isNotNull(), "attribute of another type")
+    why = why.when(~F.col("f.type").eqNullSafe("Feature"), "no feature")
+    return read.withColumn("_why", why)
+
+
+def broken_features(texts: DataFrame, attributes: str | None = None) -> DataFrame:
+    """(value, why) of the lines that are no feature: broken text, another type, attributes that do not fit."""
+    return _parsed(texts, attributes).filter("_why is not null").select("value", F.col("_why").alias("why"))
+
+
+def all_rejects(unreadable: DataFrame, texts: DataFrame, attributes: str | None) -> DataFrame:
+    """Features without a readable geometry, and what is no feature, in one table."""
+    named = unreadable.withColumn("why", F.lit("geometry"))
+    return named.unionByName(broken_features(texts, attributes), allowMissingColumns=True)
 
 
 def split_collections(documents: DataFrame) -> DataFrame:
@@ -33,7 +56,11 @@ def split_collections(documents: DataFrame) -> DataFrame:
 def read_geojson_features(
     spark: SparkSession, paths, layout: str = "lines", attributes: str | None = None, epsg: int = 25830
 ) -> tuple[DataFrame, DataFrame]:
-    """(features, rejects). ``lines`` has one feature per line and can be split; ``collection`` whole files."""
+    """(features, rejects). ``lines`` has one feature per line and can be split; ``collection`` whole files.
+
+    Rejects are features whose geometry cannot be read, with their attributes, and texts that are no feature, with
+    the raw text in ``value``; ``why`` names the reason. Features and rejects together are all lines.
+    """
     if layout == "lines":
         texts = spark.read.text(paths, recursiveFileLookup=True)
     elif layout == "collection":
@@ -41,5 +68,6 @@ def read_geojson_features(
     else:
         raise ValueError(f"unknown layout {layout!r}")
     accepted, rejects = encode_geometry(parse_features(texts, attributes))
+    rejects = all_rejects(rejects, texts, attributes)
     boxed = accepted.withColumn("bbox", G.wkb_bbox(F.col("geom")))
     return with_srid(boxed, epsg), rejects

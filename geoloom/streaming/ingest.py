@@ -14,13 +14,19 @@ from geoloom.operators.joins import pending
 from geoloom.operators.schema import with_field_ids
 from geoloom.plans.publish import normalise_vector
 from geoloom.operators.geometry import encode_geometry
-from geoloom.sources.geojson import parse_features
+from geoloom.sources.geojson import all_rejects, parse_features
+
+
+# Error conditions of a folder that is missing or has no files yet.
+NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def _ledger(spark: SparkSession, path: str, schema) -> DataFrame:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() not in NOTHING_THERE:
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -28,13 +34,16 @@ def ingest_batch(batch: DataFrame, batch_id: int, attributes: str, key: str, eps
     """One micro-batch. Each has its own folder, written with overwrite, so a repeated batch is harmless."""
     spark = batch.sparkSession
     accepted, rejects = encode_geometry(parse_features(batch, attributes))
+    rejects = all_rejects(rejects, batch, attributes)
     ids_type = accepted.select(key).schema
     own = f"batch={batch_id}"
     done = _ledger(spark, f"{target}/data", ids_type)
     if "batch" in done.columns:
         done = done.filter(F.col("batch") != batch_id)
-    # one feature per id: the features of a batch are merged before the ledger is asked
-    single = accepted.groupBy(key).agg(F.max_by(F.struct(*accepted.columns), F.xxhash64("*")).alias("_f")).select("_f.*")
+    # one feature per id: the features of a batch are merged before the ledger is asked; those without one all stay
+    named = accepted.filter(F.col(key).isNotNull())
+    single = named.groupBy(key).agg(F.max_by(F.struct(*accepted.columns), F.xxhash64("*")).alias("_f")).select("_f.*")
+    single = single.unionByName(accepted.filter(F.col(key).isNull()))
     fresh = normalise_vector(pending(single, done.select(key), key).select(*accepted.columns), epsg)
     described = with_field_ids(fresh, epsg=epsg)
     described.write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/data/{own}")

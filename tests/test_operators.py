@@ -237,7 +237,7 @@ def test_all_nan_column_has_no_bounds(spark):
 def test_non_finite_geometries_are_counted(spark):
     inf = struct.pack("<BIdd", 1, 1, float("inf"), 2)
     df = spark.createDataFrame([(bytearray(inf),), (None,), (bytearray(struct.pack("<BII", 1, 3, 0)),)], "geom binary")
-    assert Q.audit_geometries(df).first().asDict() == {"rows": 3, "null_geometries": 1, "empty_geometries": 1, "non_finite_bbox": 1}
+    assert Q.audit_geometries(df).first().asDict() == {"rows": 3, "null_geometries": 1, "empty_geometries": 1, "unreadable_geometries": 0, "non_finite_bbox": 1}
 
 
 # --- statistics and settled defects ------------------------------------------------------------------------------
