@@ -16,6 +16,14 @@ def is_finite(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
 
 
+def all_finite(*names: str) -> Column:
+    """Whether every one of these columns holds a finite number."""
+    known = F.lit(True)
+    for name in names:
+        known = known & F.coalesce(is_finite(F.col(name)), F.lit(False))
+    return known
+
+
 def finite_guard(value: Column) -> Column:
     """NaN and the infinities become null."""
     return F.when(is_finite(value), value)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.functions.guards import all_finite
+
 
 def pending(everything: DataFrame, ledger: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose id is not in the ledger yet (exact, case-sensitive match)."""
@@ -88,7 +90,7 @@ def _cells(df: DataFrame, base: float, step: int, top: int, lifted: bool, above_
 
 
 def overlap_pairs(left: DataFrame, right: DataFrame, base: float = 1000.0, step: int = 4) -> DataFrame:
-    """All (left id, right id) whose boxes share a point, each pair once.
+    """All (left id, right id) whose boxes share a point, each pair once; boxes that are not finite are in no pair.
 
     ``left`` and ``right`` have ``id, xmin, ymin, xmax, ymax``. Instead of comparing every pair, boxes meet on
     a grid whose level fits the bigger of the two: big boxes at their own level against everything lifted
@@ -96,7 +98,7 @@ def overlap_pairs(left: DataFrame, right: DataFrame, base: float = 1000.0, step:
     """
     named = []
     for df, p in ((left, "l"), (right, "r")):
-        known = F.col("xmin").isNotNull() & F.col("ymin").isNotNull() & F.col("xmax").isNotNull() & F.col("ymax").isNotNull()
+        known = all_finite("xmin", "ymin", "xmax", "ymax")
         sides = [F.col(c).cast("double").alias(c) for c in ("xmin", "ymin", "xmax", "ymax")]
         named.append((df.filter(known).select("id", *sides), p))
     longest = F.max(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")))

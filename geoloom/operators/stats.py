@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from geoloom.functions import bounds as B
 from geoloom.functions.geometry import BBOX_NAMES, wgs84_bbox
+from geoloom.functions.guards import all_finite
 from geoloom.operators.schema import published_type
 
 _NO_BOUNDS = (T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
@@ -68,10 +69,11 @@ def _statistics(df: DataFrame, by: tuple[str, ...], geom: str, fold_bbox: bool)
 
 
 def geometry_bounds(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Lower and upper corner over all rows; zeros and ``has_bound = false`` where no row has a bbox."""
+    """Lower and upper corner over all rows; zeros and ``has_bound = false`` where no row has a bbox, or one of the
+    four numbers is not finite."""
     lows = [F.min(c).alias(c) for c in ("xmin", "ymin")]
     highs = [F.max(c).alias(c) for c in ("xmax", "ymax")]
-    known = F.col("xmin").isNotNull() & F.col("ymin").isNotNull() & F.col("xmax").isNotNull() & F.col("ymax").isNotNull()
+    known = all_finite(*BBOX_NAMES)
     return (
         df.groupBy(*by)
         .agg(*lows, *highs)
@@ -131,4 +133,4 @@ def file_stats(spark: SparkSession, path: str) -> DataFrame:
     rows = F.count(F.lit(1)).alias("rows")
     sides = [F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax")]
     out = named.groupBy("file", "bytes").agg(rows, *sides)
-    return out.withColumn("has_bound", F.col("xmin").isNotNull() & F.col("xmax").isNotNull())
+    return out.withColumn("has_bound", all_finite(*BBOX_NAMES))
