@@ -33,7 +33,7 @@ from geoloom.llm.labelled import sample
 PER_CLASS, MOST_BYTES = 1500, 8 << 10
 WINDOW, STRIDE = 32, 16
 WORD_ROWS, CHAR_ROWS, EMBEDDING, HIDDEN = 1 << 13, 1 << 13, 8, 12
-STEPS, BATCH, RATE = 330, 48, 0.01
+STEPS, BATCH, RATE = 240, 32, 0.01
 SLICE_BYTES, CHUNK = 1 << 20, 4096
 SEED = 7
 
