@@ -209,6 +209,27 @@ def j05(spark, sf):
     return J.prune_files(files, around)
 
 
+@query(
+    "j05_prune_non_finite",
+    "select p.id as box, cast(count_if(f.m % 5 = 1 or (f.xmin <= p.x + 1500 and f.xmax >= p.x - 1500 and f.ymin <= p.y + 1500"
+    " and f.ymax >= p.y - 1500)) as bigint) as scanned, count(*) as total from $F1 p cross join"
+    " (select floor(xmin / 10000) as fx, floor(ymin / 10000) as fy, cast(floor(xmin / 10000) + floor(ymin / 10000) as bigint) as m,"
+    f" min(xmin) as xmin, min(ymin) as ymin, max(xmax) as xmax, max(ymax) as ymax from {C.LIVE_BOXES} group by all) f group by p.id",
+)
+def j05_non_finite(spark, sf):
+    """A fifth of the files has a bound that is NaN or infinite: no box can rule them out."""
+    df = OG.drop_null_or_empty_geometry(C.boxes_with_bbox(spark, sf))
+    fx, fy = (F.floor(F.col(c) / 10000).cast("bigint") for c in ("xmin", "ymin"))
+    df = df.withColumn("file", F.concat(fx.cast("string"), F.lit("_"), fy.cast("string"))).withColumn("m", fx + fy)
+    odd = F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(F.lit(float("inf")))
+    df = df.withColumn("xmax", F.when(F.col("m") % 5 == 1, odd).otherwise(F.col("xmax")))
+    x, y = F.col("x"), F.col("y")
+    around = fixture(spark, sf, "F1").select(
+        "id", (x - 1500).alias("xmin"), (y - 1500).alias("ymin"), (x + 1500).alias("xmax"), (y + 1500).alias("ymax")
+    )
+    return J.prune_files(ST.geometry_bounds(df, ("file",)), around)
+
+
 @query(
     "a13_file_stats",
     "select part_key, count(*) as rows, min(xmin) as xmin, min(ymin) as ymin, max(xmax) as xmax, max(ymax) as ymax,"

@@ -73,20 +73,30 @@ def with_global_position(df: DataFrame, order: list[str], name: str = "position"
     )
 
 
-def sample_geometries(df: DataFrame, epsg: int, order: list[str], n: int = 2000, geom: str = "geom") -> DataFrame:
-    """First ``n`` rows that have a geometry, in longitude/latitude. Only those ``n`` are re-projected."""
+def sample_geometries(
+    df: DataFrame, epsg: int, order: list[str] | None = None, n: int = 2000, geom: str = "geom"
+) -> DataFrame:
+    """First ``n`` rows that have a geometry, in longitude/latitude. Only those ``n`` are re-projected.
+
+    Without an order the scan ends after the first files that hold as many.
+    """
     from geoloom.operators.geometry import reproject
 
-    top = df.filter(F.col(geom).isNotNull()).orderBy(*order).limit(n)
+    some = df.filter(F.col(geom).isNotNull())
+    top = (some.orderBy(*order) if order else some).limit(n)
     return reproject(top, epsg, geom)
 
 
-def preview(df: DataFrame, order: list[str], n: int = 100, geom: str = "geom") -> DataFrame:
-    """First rows of the logical table without its geometry; the scan reads only the shown columns."""
+def preview(df: DataFrame, order: list[str] | None = None, n: int = 100, geom: str = "geom") -> DataFrame:
+    """First rows of the logical table without its geometry; the scan reads only the shown columns.
+
+    Without an order, as a browser shows a table, it ends after the first files.
+    """
     from geoloom.operators.schema import hide_bbox
 
     shown = hide_bbox(df)
-    return shown.drop(geom).orderBy(*order).limit(n)
+    rows = shown.drop(geom)
+    return (rows.orderBy(*order) if order else rows).limit(n)
 
 
 def capped_list(df: DataFrame, order: list[str], n: int = 500) -> DataFrame:

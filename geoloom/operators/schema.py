@@ -24,7 +24,8 @@ TYPE_NAMES = {
     T.BooleanType: "boolean",
 }
 _SMALL_INTS = (T.ByteType, T.ShortType)
-_TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
+_STAMPS = (T.TimestampType, T.TimestampNTZType)
+_TEMPORAL = (T.DateType, *_STAMPS, T.TimeType, T.DayTimeIntervalType, T.YearMonthIntervalType)
 
 
 def _positional(df: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -133,7 +134,7 @@ def temporals_to_string(df: DataFrame, style: str = "short") -> DataFrame:
         source, kind = F.col(f"_c{i}"), type(field.dataType)
         if kind not in _TEMPORAL:
             out.append((field.name, None))
-        elif style == "micro" and kind is not T.DateType:
+        elif style == "micro" and kind in _STAMPS:
             out.append((field.name, F.date_format(source, "yyyy-MM-dd HH:mm:ss.SSSSSS")))
         else:
             out.append((field.name, source.cast("string")))
