@@ -274,3 +274,15 @@ def test_functions_reach_workers_without_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=200)
     assert "rows " in done.stdout, done.stderr[-2000:]
+
+
+@pytest.mark.parametrize("columns", [61, 62, 63, 124, 200])
+def test_header_test_looks_at_every_column(spark, tmp_path, columns):
+    rows = ["".join(f"t{r}x{c};" for c in range(columns - 1)) + str(r) for r in range(3)]
+    named = ";".join(f"n{c}" for c in range(columns))
+    put(tmp_path, "bare.csv", "\n".join(rows) + "\n")
+    put(tmp_path, "named.csv", "\n".join([named, *rows]) + "\n")
+    tables, rejected = TT.read_text_tables(spark, [str(tmp_path)])
+    found = {os.path.basename(t.files[0]): t for t in tables}
+    assert not rejected and {k: t.header for k, t in found.items()} == {"bare.csv": False, "named.csv": True}
+    assert all(len(t.names) == columns and t.df.count() == 3 for t in tables)
