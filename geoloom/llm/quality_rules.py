@@ -200,8 +200,8 @@ def filter_documents(documents: DataFrame, labels: DataFrame, stratum: str = "la
     counted = with_counts(own.select(names[doc_id], names[stratum], names[text]), names[text]).drop(names[text])
     counted = written(counted, "counts")
     levels = fit_levels(counted, labels, names[stratum], names[doc_id])
-    # The counts are costly: a row number that the filter reads keeps the optimizer from computing them inside it.
-    rated = judge(with_counts(own, names[text]).withColumn("_row", F.monotonically_increasing_id()), levels, names[stratum])
+    # A row number that the filter reads keeps the optimizer from taking the verdict and its counts into the filter.
+    rated = judge(with_counts(own, names[text]), levels, names[stratum]).withColumn("_row", F.monotonically_increasing_id())
     kept = rated.filter(F.col("kept") & (F.col("_row") >= 0))
     return kept.select(*[F.col(v).alias(k) for k, v in names.items()])
 
