@@ -26,7 +26,7 @@ from geoloom.llm.common import written
 SHARDS = 8
 TOLERANCE = 0.005
 #: Rows of a bucket, and buckets of a shard at most.
-BUCKET_ROWS, MAX_BUCKETS = 16_384, 4096
+BUCKET_ROWS, MAX_BUCKETS = 4096, 1 << 15
 
 _DIGIT = 12
 _BITS = 128
