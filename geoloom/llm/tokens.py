@@ -27,7 +27,7 @@ _KNOWN_PATTERNS = {
 _PUNCTUATION = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 #: Entries of the cache of one Python worker; it is emptied when full.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
 #: Bytes of text that are cut and encoded together.
 SLICE_BYTES = 3 << 20
 
