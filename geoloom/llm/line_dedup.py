@@ -4,13 +4,15 @@ Segment-partition edit join, in built-in functions only. A line is split into th
 the threshold contains one of them unchanged, at a place that is off by no more than the edits before and after it
 allow. So each line is indexed by (length, number of the segment, segment) and probes, for each length from its own
 down to the threshold less, the substrings at the allowed places. Probes pass a bitmap of the index keys of bounded
-size first; it lets keys through that are not in the index, never the reverse. Candidates that share too few pieces
-are dropped, the others are verified by an edit distance whose band of rows is one machine word, column by column.
+size first; it lets keys through that are not in the index, never the reverse. Candidates whose numbers of some
+common letters differ too much never leave the join, those that share too few pieces are dropped. The others are
+verified between their common ends by an edit distance whose band of rows is one machine word, column by column.
 
 A line's place is (document id, number of the line). Lines are judged on the input, not on what is left. Lines of
 fewer than ``MIN_CHARS`` code points are left alone.
 
-Texts are never shuffled whole: lines travel as hashes, only the lines of candidates and the documents that lose a
+The lines are split off and hashed once and written to the shared folder, from which every later step reads the
+columns it needs. Texts are never shuffled whole: lines travel as hashes, only the lines of candidates and the documents that lose a
 line are brought together. Copies of a line are merged before each shuffle.
 
 Defined results: a null text stays null and has no lines; an empty line is an ordinary short line; a document without
@@ -30,6 +32,8 @@ THRESHOLD = 2
 MIN_CHARS = 24
 #: Pieces of the last filter before the distance is computed; each edit can spoil one.
 PIECES = 8
+#: Characters whose numbers are compared before anything else; each edit changes a number by one at most.
+COUNTED, _COUNT_BITS = " eantiros", 7
 
 ADDED = ("n_lines", "n_removed", "kept_text")
 
@@ -60,14 +64,30 @@ def _key(line: Column, length: Column, shorter: int, i: int, shift: int, thresho
     return F.when(fits, F.xxhash64(length - shorter, F.lit(i), F.substring(line, start, size)))
 
 
+def _counts(line: Column) -> Column:
+    """How often each of ``COUNTED`` occurs, packed into one number."""
+    packed = F.lit(0).cast("long")
+    for i, c in enumerate(COUNTED):
+        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
+        packed = packed.bitwiseOR(F.shiftleft(n.cast("long").bitwiseAND((1 << _COUNT_BITS) - 1), i * _COUNT_BITS))
+    return packed
+
+
+def _alike(a: str, b: str, threshold: int) -> str:
+    """Condition on two packed numbers that any two lines within the threshold meet."""
+    size = 1 << _COUNT_BITS
+    parts = [f"(shiftright({a}, {i * _COUNT_BITS}) - shiftright({b}, {i * _COUNT_BITS}) + {threshold}) & {size - 1}" for i in range(len(COUNTED))]
+    return " and ".join(f"({p}) <= {2 * threshold}" for p in parts)
+
+
 def judged_lines(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """_doc, _text_hash, _pos, _line, _chars and _place of every line that is judged."""
+    """Every line that is judged: _doc, _text_hash, _pos, _line, _chars, _place, _n, and its hashes _h1 and _h2."""
     rows = documents.filter(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("_doc"), F.xxhash64(text).alias("_text_hash"), F.posexplode(F.split(text, "\n")).alias("_pos", "_line")
     )
     rows = rows.withColumn("_chars", F.length("_line")).filter(F.col("_chars") >= MIN_CHARS)
     place = F.col("_doc").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("_pos").cast("decimal(10,0)")
-    return rows.withColumn("_place", place.cast("decimal(38,0)"))
+    return rows.withColumns({"_place": place.cast("decimal(38,0)"), "_n": _counts(F.col("_line"))}).select("*", *_hashes())
 
 
 def _hashes() -> list[Column]:
@@ -115,7 +135,7 @@ def within(a: Column, b: Column, threshold: int) -> Column:
 
         moved = F.transform(F.transform(F.array(step), advance), finish)[0]
         # The score falls by at most one a column behind the diagonal part.
-        return F.when(state["score"] > 3 * threshold + 1, state).otherwise(moved)
+        return F.when(state["score"] > 3 * threshold, state).otherwise(moved)
 
     ones = ((1 << (threshold + 1)) - 1) << threshold
     start = F.struct(F.lit(ones & mask).cast("long").alias("vp"), F.lit(0).cast("long").alias("vn"), F.lit(threshold).alias("score"))
@@ -125,6 +145,30 @@ def within(a: Column, b: Column, threshold: int) -> Column:
     return F.when(F.abs(rows - columns) > threshold, False).when(short, F.levenshtein(F.array_join(a, ""), F.array_join(b, "")) <= threshold).otherwise(banded)
 
 
+def _common(a: str, b: str, most: Column, place) -> Column:
+    """Largest number up to ``most`` of code points that are equal from one end; ``place(column, done, n)`` is the
+    first of the next ``n`` of a line, from 1. Found by halving steps; beyond 65,535 the rest is left unfound."""
+
+    def step(done: Column, n: Column) -> Column:
+        same = F.substring(F.col(a), place(a, done, n), n) == F.substring(F.col(b), place(b, done, n), n)
+        return done + F.when((done + n <= most) & same, n).otherwise(0)
+
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(15, -1, -1)]), F.lit(0), step)
+
+
+def without_common_ends(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Adds ``_ma`` and ``_mb``, what lies between the common beginning and the common end: they are as far apart."""
+    shorter = F.least(F.length(a), F.length(b))
+    begun = pairs.withColumn("_begin", _common(a, b, shorter, lambda c, done, n: done + 1))
+    ended = begun.withColumn("_end", _common(a, b, shorter - F.col("_begin"), lambda c, done, n: F.length(c) - done - n + 1))
+    middle = {f"_m{x}": F.substring(F.col(c), F.col("_begin") + 1, F.length(c) - F.col("_begin") - F.col("_end")) for x, c in (("a", a), ("b", b))}
+    return ended.withColumns(middle).drop("_begin", "_end")
+
+
+def characters(column: str) -> Column:
+    return F.when(F.col(column) == "", F.array().cast("array<string>")).otherwise(F.split(column, ""))
+
+
 def _share_pieces(a: str, b: str, threshold: int) -> Column:
     """Whether all but ``threshold`` of the pieces of ``a`` occur in ``b``."""
     length, hits = F.length(a), F.lit(0)
@@ -136,27 +180,32 @@ def _share_pieces(a: str, b: str, threshold: int) -> Column:
 
 def close_lines(lines: DataFrame, n_lines: int, threshold: int) -> DataFrame:
     """(_h1, _h2, _near): for every line with a partner within the threshold, the partners' first place."""
-    own = lines.select("_line", "_chars", F.xxhash64("_line").alias("_h"))
+    own = lines.select("_line", "_chars", F.col("_h1").alias("_h"), "_n")
     plans = probes(threshold)
     at_home = [p for p in plans if p[0] == 0 and p[2] == 0]
 
     def keyed(which: list[tuple[int, int, int]]) -> DataFrame:
         keys = F.array_compact(F.array(*[_key(F.col("_line"), F.col("_chars"), *p, threshold) for p in which]))
-        return own.select("_h", F.explode(keys).alias("_key"))
+        return own.select("_h", "_n", F.explode(keys).alias("_key"))
 
     index = written(keyed(at_home).distinct(), "segments")
-    same = index.alias("x").join(index.alias("y"), "_key").filter("x._h < y._h").selectExpr("x._h as _a", "y._h as _b")
+    alike = _alike("x._n", "y._n", threshold)
+    same = index.alias("x").join(index.alias("y"), "_key").filter(f"x._h < y._h and {alike}").selectExpr("x._h as _a", "y._h as _b")
     known = Bitmap(index, "_key", (threshold + 1) * n_lines)
     probe = known.maybe(keyed([p for p in plans if p not in at_home]), "_key").distinct()
-    found = probe.alias("x").join(index.alias("y"), "_key").filter("x._h <> y._h").selectExpr("least(x._h, y._h) as _a", "greatest(x._h, y._h) as _b")
+    found = probe.alias("x").join(index.alias("y"), "_key").filter(f"x._h <> y._h and {alike}").selectExpr("least(x._h, y._h) as _a", "greatest(x._h, y._h) as _b")
     pairs = written(same.unionAll(found).distinct(), "line-pairs")
     needed = pairs.select(F.explode(F.array("_a", "_b")).alias("_h")).distinct()
-    some = Bitmap(needed, "_h", needed.count()).maybe(lines.withColumn("_h", F.xxhash64("_line")), "_h")
+    some = Bitmap(needed, "_h", needed.count()).maybe(lines.withColumnRenamed("_h1", "_h").select("_h", "_line", "_place"), "_h")
     texts = written(some.groupBy("_h", "_line").agg(F.min("_place").alias("_first")), "pair-lines")
     left = texts.withColumnsRenamed({"_h": "_a", "_line": "_la", "_first": "_fa"})
     right = texts.withColumnsRenamed({"_h": "_b", "_line": "_lb", "_first": "_fb"})
     both = pairs.join(left, "_a").join(right, "_b").filter(_share_pieces("_la", "_lb", threshold))
-    links = both.filter(within(F.split("_la", ""), F.split("_lb", ""), threshold))
+    # A row number that the filter reads keeps the optimizer from finding the common ends once more inside it.
+    trimmed = without_common_ends(both, "_la", "_lb").withColumn("_row", F.monotonically_increasing_id())
+    trimmed = trimmed.filter(_share_pieces("_ma", "_mb", threshold) & (F.col("_row") >= 0))
+    close = within(F.col("_ca"), F.col("_cb"), threshold)
+    links = trimmed.withColumns({"_ca": characters("_ma"), "_cb": characters("_mb")}).filter(close & (F.col("_row") >= 0))
     ends = F.array(F.struct(F.col("_la").alias("l"), F.col("_fb").alias("f")), F.struct(F.col("_lb").alias("l"), F.col("_fa").alias("f")))
     ends = links.select(F.explode(ends).alias("e")).select(F.col("e.l").alias("_line"), F.col("e.f").alias("_near"))
     return ends.select(*_hashes(), "_near").groupBy("_h1", "_h2").agg(F.min("_near").alias("_near"))
@@ -164,15 +213,15 @@ def close_lines(lines: DataFrame, n_lines: int, threshold: int) -> DataFrame:
 
 def removed_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """_doc, _text_hash and _gone, the sorted numbers of the lines that go, of every document that loses one."""
-    lines = judged_lines(documents, doc_id, text)
-    firsts = lines.select(*_hashes(), "_place").groupBy("_h1", "_h2").agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
+    lines = written(judged_lines(documents, doc_id, text), "lines")
+    firsts = lines.groupBy("_h1", "_h2").agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
     firsts = written(firsts, "first-lines")
     near = written(close_lines(lines, firsts.count(), threshold), "near-lines")
     # Lines that occur once and have no partner stay without a look.
     copies = firsts.filter("_n > 1").select("_h1", "_h2", F.col("_first").alias("_limit"))
     limits = copies.unionAll(near.select("_h1", "_h2", F.col("_near").alias("_limit")))
     limits = limits.groupBy("_h1", "_h2").agg(F.min("_limit").alias("_limit"))
-    found = lines.select("_doc", "_text_hash", "_pos", "_place", *_hashes()).join(limits, ["_h1", "_h2"]).filter("_place > _limit")
+    found = lines.select("_doc", "_text_hash", "_pos", "_place", "_h1", "_h2").join(limits, ["_h1", "_h2"]).filter("_place > _limit")
     return found.groupBy("_doc", "_text_hash").agg(F.sort_array(F.collect_set("_pos")).alias("_gone"))
 
 

@@ -339,11 +339,11 @@ def test_banded_distance(spark, threshold):
         pairs.append((a, "".join(b)))
     df = spark.createDataFrame(pairs, "a string, b string")
 
-    def letters(c):
-        return F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(c, ""))
-
-    for r in df.withColumn("w", line_dedup.within(letters("a"), letters("b"), threshold)).collect():
-        assert r.w == (_distance(r.a, r.b) <= threshold), r
+    whole = line_dedup.within(line_dedup.characters("a"), line_dedup.characters("b"), threshold)
+    inner = line_dedup.within(line_dedup.characters("_ma"), line_dedup.characters("_mb"), threshold)
+    for r in line_dedup.without_common_ends(df, "a", "b").withColumns({"w": whole, "m": inner}).collect():
+        assert r.w == r.m == (_distance(r.a, r.b) <= threshold), r
+        assert _distance(r["_ma"], r["_mb"]) == _distance(r.a, r.b)
 
 
 def test_line_dedup(spark):
