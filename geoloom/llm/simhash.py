@@ -65,8 +65,8 @@ def distances(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return to_base, np.bitwise_count(prints[:, None, None] ^ VERSIONS[None]).astype(np.int8)
 
 
-def fingerprints(data: np.ndarray, places: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
-    """One fingerprint a text."""
+def shingle_hashes(data: np.ndarray, places: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all texts, and how many each text has."""
     data = at.LOWER[data]
     starts, ends, first = at.word_places(data, places, at.WHITE_SPACE)
     # Words with one space behind each, so that a shingle is one range of bytes.
@@ -85,7 +85,13 @@ def fingerprints(data: np.ndarray, places: np.ndarray, shingle: int = SHINGLE) -
         np.uint64,
         len(begin),
     )
-    result = np.zeros(len(n), dtype=np.uint64)
+    return hashes, counts
+
+
+def fingerprints(data: np.ndarray, places: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
+    """One fingerprint a text."""
+    hashes, counts = shingle_hashes(data, places, shingle)
+    result = np.zeros(len(counts), dtype=np.uint64)
     some = np.flatnonzero(counts)
     if len(some):
         bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
