@@ -9,13 +9,14 @@ common letters differ too much never leave the join, those that share too few pi
 verified between their common ends by an edit distance whose band of rows is one machine word, column by column.
 
 A line's place is (document id, number of the line). Lines are judged on the input, not on what is left. Lines of
-fewer than ``MIN_CHARS`` code points are left alone.
+fewer than ``MIN_CHARS`` code points have no near partners; their exact copies go from ``copies_from`` code points on,
+if they hold a word. The SQL of op7 leaves them all alone, hence the default; 1 takes every line that holds a word.
 
 The lines are split off and hashed once and written to the shared folder, from which every later step reads the
 columns it needs. Texts are never shuffled whole: lines travel as hashes, only the lines of candidates and the documents that lose a
 line are brought together. Copies of a line are merged before each shuffle.
 
-Defined results: a null text stays null and has no lines; an empty line is an ordinary short line; a document without
+Defined results: a null text stays null and has no lines; an line without a word is never removed as a short one; a document without
 an id keeps all; rows of one id are one document, so that equal places never remove each other; empty tables give
 empty results; columns called like a result column are replaced.
 """
@@ -30,6 +31,8 @@ from geoloom.llm.common import set_aside, written
 
 THRESHOLD = 2
 MIN_CHARS = 24
+#: What a line that holds a word matches.
+WORD = r"[^\x20\x09-\x0D]"
 #: Pieces of the last filter before the distance is computed; each edit can spoil one.
 PIECES = 8
 #: Characters whose numbers are compared before anything else; each edit changes a number by one at most.
@@ -80,12 +83,16 @@ def _alike(a: str, b: str, threshold: int) -> str:
     return " and ".join(f"({p}) <= {2 * threshold}" for p in parts)
 
 
-def judged_lines(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+def judged_lines(documents: DataFrame, doc_id: str, text: str, copies_from: int = MIN_CHARS) -> DataFrame:
     """Every line that is judged: _doc, _text_hash, _pos, _line, _chars, _place, _n, and its hashes _h1 and _h2."""
     rows = documents.filter(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("_doc"), F.xxhash64(text).alias("_text_hash"), F.posexplode(F.split(text, "\n")).alias("_pos", "_line")
     )
-    rows = rows.withColumn("_chars", F.length("_line")).filter(F.col("_chars") >= MIN_CHARS)
+    chars = F.col("_chars")
+    judged = chars >= MIN_CHARS
+    if copies_from < MIN_CHARS:
+        judged = judged | ((chars >= copies_from) & F.col("_line").rlike(WORD))
+    rows = rows.withColumn("_chars", F.length("_line")).filter(judged)
     place = F.col("_doc").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("_pos").cast("decimal(10,0)")
     return rows.withColumns({"_place": place.cast("decimal(38,0)"), "_n": _counts(F.col("_line"))}).select("*", *_hashes())
 
@@ -180,6 +187,7 @@ def _share_pieces(a: str, b: str, threshold: int) -> Column:
 
 def close_lines(lines: DataFrame, n_lines: int, threshold: int) -> DataFrame:
     """(_h1, _h2, _near): for every line with a partner within the threshold, the partners' first place."""
+    lines = lines.filter(F.col("_chars") >= MIN_CHARS)
     own = lines.select("_line", "_chars", F.col("_h1").alias("_h"), "_n")
     plans = probes(threshold)
     at_home = [p for p in plans if p[0] == 0 and p[2] == 0]
@@ -211,9 +219,11 @@ def close_lines(lines: DataFrame, n_lines: int, threshold: int) -> DataFrame:
     return ends.select(*_hashes(), "_near").groupBy("_h1", "_h2").agg(F.min("_near").alias("_near"))
 
 
-def removed_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+def removed_lines(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, copies_from: int = MIN_CHARS
+) -> DataFrame:
     """_doc, _text_hash and _gone, the sorted numbers of the lines that go, of every document that loses one."""
-    lines = written(judged_lines(documents, doc_id, text), "lines")
+    lines = written(judged_lines(documents, doc_id, text, copies_from), "lines")
     firsts = lines.groupBy("_h1", "_h2").agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
     firsts = written(firsts, "first-lines")
     near = written(close_lines(lines, firsts.count(), threshold), "near-lines")
@@ -225,10 +235,12 @@ def removed_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
     return found.groupBy("_doc", "_text_hash").agg(F.sort_array(F.collect_set("_pos")).alias("_gone"))
 
 
-def dedup_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+def dedup_lines(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, copies_from: int = MIN_CHARS
+) -> DataFrame:
     """Documents with ``n_lines`` (all lines), ``n_removed`` and ``kept_text``."""
     own = [c for c in documents.columns if c.lower() not in ADDED]
-    gone = written(removed_lines(documents, doc_id, text, threshold), "gone-lines")
+    gone = written(removed_lines(documents, doc_id, text, threshold, copies_from), "gone-lines")
     rows = documents.select(*own, F.col(text).alias("_text"), F.col(doc_id).cast("long").alias("_id"), F.xxhash64(text).alias("_hash"))
     rows = rows.withColumn("_mark", F.xxhash64("_id", "_hash"))
     # Most documents lose nothing; they are told apart without a shuffle.
@@ -249,8 +261,10 @@ def dedup_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     )
 
 
-def remove_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+def remove_lines(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, copies_from: int = MIN_CHARS
+) -> DataFrame:
     """Documents with the kept lines as their text; the other columns are unchanged."""
     aside, back = set_aside(documents, ADDED)
-    done = dedup_lines(aside, doc_id, text, threshold)
+    done = dedup_lines(aside, doc_id, text, threshold, copies_from)
     return back(done.withColumn(text, F.col("kept_text")).select(*aside.columns))
