@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from geoloom.llm import arrowtext as at
 from geoloom.llm.common import added_to, written
-from geoloom.llm.components import roots
+from geoloom.llm.components import one_of_each, roots
 
 BITS = 2
 SHINGLE = 3
@@ -232,7 +232,13 @@ def near_duplicates(
 
 
 def drop_near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """Documents but those of a group in which a smaller id stays; their columns are unchanged."""
-    found = near_duplicates(documents.select(doc_id, text), doc_id, text, shingle, [doc_id])
-    gone = found.filter(F.col("component_id") < F.col(doc_id)).select(F.col(doc_id).alias("_gone")).distinct()
-    return documents.join(gone, documents[doc_id] == gone["_gone"], "left_anti")
+    """One row of each group of near-duplicates, of those with an id; the columns are unchanged.
+
+    Groups are of fingerprints, not of ids: the row with the smallest (id, hash of the text) stays, and one of equal
+    rows. Rows without an id are not linked and all stay.
+    """
+    own = documents.filter(F.col(doc_id).isNotNull())
+    keyed = own.select(F.col(doc_id).cast("long").alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text"))
+    prints = written(_with_prints(keyed, "text", ["_id", "_hash"], shingle), "fingerprints")
+    groups = component_table(prints.select(F.col("_print").alias("doc_id"), "_print")).toDF("node", "root")
+    return one_of_each(own, prints, groups, doc_id, text).unionAll(documents.filter(F.col(doc_id).isNull()))
