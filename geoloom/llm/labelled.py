@@ -20,7 +20,7 @@ def sample(
     Texts and labels (0 or 1): of each class the ``per_class`` labels with the smallest hash of their id, less those
     whose text is missing or longer than ``most_bytes``. At most 2 * per_class * most_bytes reach the driver.
 
-    Of several labels of one document the smallest counts; labels without an id or value are not used.
+    Of several labels of one document the smallest counts, of several texts the one with the smallest hash; labels without an id or value are not used.
     """
     own = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).dropna()
     own = own.filter(usable).groupBy("_id").agg(F.min("_y").alias("_y"))
@@ -29,6 +29,7 @@ def sample(
     chosen = ids[0].unionAll(ids[1])
     texts = documents.filter(F.col(text).isNotNull() & (F.octet_length(text) <= most_bytes)).select(F.col(doc_id).alias("_doc"), F.col(text).alias("_t"))
     # The chosen ids are at most 2 * per_class rows.
-    rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).orderBy("_id", "_t").collect()
+    found = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).groupBy("_id", "_y")
+    rows = found.agg(F.min_by("_t", F.xxhash64("_t")).alias("_t")).orderBy("_id", "_t").collect()
     return [r["_t"] for r in rows], [r["_y"] for r in rows]
 
