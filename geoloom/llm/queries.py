@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, line_dedup, packing, quality_neighbours, quality_rules, sharding, simhash, substring_dedup
+from geoloom.llm import decontaminate, filter_audit, line_dedup, packing, quality_neighbours, quality_rules, sharding, simhash, substring_dedup
 from geoloom.llm import token_files, toxicity
 from geoloom.llm.common import written
 from geoloom.llm.labelled import in_fold
@@ -225,3 +225,42 @@ from documents d left join n using (doc_id) left join kept using (doc_id)
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     found = line_dedup.dedup_lines(_documents(spark, sf).select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
+_FAILS = "select 'A' as x, 1 as bit union all select 'B', 2 union all select 'C', 4 union all select 'D', 8 union all select 'E', 16"
+
+
+@query(
+    "op13_filter_audit",
+    f"""
+with d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+                  regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+m as (select doc_id, part,
+             case when len(w) < 50 then 1 else 0 end + case when 100 * len(list_distinct(w)) < 65 * len(w) then 2 else 0 end
+             + case when 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) then 4 else 0 end
+             + case when regexp_matches(text, '[#$%&*|]') then 8 else 0 end
+             + case when doc_id > min(doc_id) over (partition by text) then 16 else 0 end as mask from d),
+lab as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+        from labels where doc_id is not null group by doc_id),
+f as ({_FAILS}),
+orders as (select a.x || b.x || c.x || d.x || e.x as filter_order,
+                  [0, a.bit, a.bit + b.bit, a.bit + b.bit + c.bit, a.bit + b.bit + c.bit + d.bit] as befores
+           from f a join f b on a.x <> b.x join f c on c.x not in (a.x, b.x) join f d on d.x not in (a.x, b.x, c.x)
+           join f e on e.x not in (a.x, b.x, c.x, d.x)),
+steps as (select filter_order, step, befores[step] as before, f.bit as own
+          from orders, (select unnest(range(1, 6)) as step) join f on f.x = substring(filter_order, step, 1)),
+cells as (select part, filter_order, step, own,
+                 count(*) filter (where mask & (before | own) = 0) as kept,
+                 count(*) filter (where mask & own > 0 and mask & before = 0) as removed,
+                 count(*) filter (where mask & own > 0 and mask & before > 0) as redundant,
+                 count(*) filter (where mask = own) as unique_fails,
+                 count(*) filter (where mask & own > 0 and mask & before = 0 and good = 1) as good_lost,
+                 count(*) filter (where mask & own > 0 and mask & before = 0 and toxic = 1) as toxic_lost
+          from m left join lab using (doc_id), steps group by part, filter_order, step, own)
+select part, filter_order, cast(step as int) as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       cast(sum(removed) over (partition by part, own) as bigint) as shapley
+from cells
+""",
+)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(_documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
