@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, filter_audit, line_dedup, packing, quality_neighbours, quality_rules, sharding, simhash, substring_dedup
-from geoloom.llm import token_files, toxicity
+from geoloom.llm import decontaminate, filter_audit, lexical_search, license_rules, license_scan, line_dedup, packing, quality_neighbours, quality_rules
+from geoloom.llm import sharding, simhash, substring_dedup, token_files, toxicity
 from geoloom.llm.common import written
 from geoloom.llm.labelled import in_fold
 from geoloom.session import scratch_path
@@ -264,3 +264,60 @@ from cells
 )
 def op13(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit(_documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_RULE_ROWS = ", ".join(f"({r.number}, {r.priority}, {_quoted(r.label)}, {_quoted(r.keyword)}, {_quoted(r.expression)}, {r.base})" for r in license_rules.RULES)
+_NOT_IN_WORDS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+@query(
+    "op12_license_scan",
+    f"""
+with rules(rule, priority, label, keyword, expression, base) as (values {_RULE_ROWS}),
+d as materialized (select row_number() over () as k, doc_id,
+             trim(regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_NOT_IN_WORDS}', ' ', 'g')) as s from documents),
+a as (select *, ' ' || replace(s, ' ', '  ') || ' ' as apart from d),
+m as (select k, rules.*, regexp_extract_all(apart, expression) as ms,
+             list_filter(list_transform(string_split(regexp_replace(apart, '(' || expression || ')', chr(1) || '\\1', 'g'), ' '),
+                                        lambda x, i: case when x = chr(1) then (i - 1) // 2 end), lambda x: x is not null) as ps
+      from a join rules on contains(apart, ' ' || keyword) and regexp_matches(apart, expression)),
+f as (select k, rule, priority, label, base, unnest(ps) as first_w, unnest(list_transform(ms, lambda x: len(x) - len(replace(x, ' ', '')))) // 2 as n from m),
+kept as (select * from f where not exists (
+           select 1 from f g where g.k = f.k and g.first_w <= f.first_w and g.first_w + g.n >= f.first_w + f.n and g.priority <= f.priority
+           and (g.priority < f.priority or g.n > f.n or g.rule < f.rule))),
+b as (select k, count(*) as n_base, min(first_w) as first_word, max(first_w) as last_word, list(distinct label) as own from f where base group by k),
+l as (select k, list(distinct label) as own, min(priority) as best from kept group by k)
+select doc_id, cast(case when s = '' then 0 else len(string_split(s, ' ')) end as bigint) as n_words, coalesce(n_base, 0) as n_base,
+       first_word, last_word, coalesce(array_to_string(list_sort(b.own), ','), '') as base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(b.own, l.own))), ','), '') as labels,
+       cast(case best {' '.join(f'when {p} then {c}' for p, c in license_rules.CONFIDENCE.items())} else 0 end as double) as score
+from a left join b using (k) left join l using (k)
+""",
+)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.scan(_documents(spark, sf).select("doc_id", "text")).drop("text", "detections")
+
+
+@query(
+    "op11_lexical_search",
+    f"""
+with d as materialized (select row_number() over () as k, doc_id, {_ALNUM_WORDS} as w from documents),
+s as (select count(*) filter (where len(w) > 0) as nd, cast(sum(len(w)) as bigint) as lt from d),
+b as materialized (select row_number() over () as q, item_id, list_distinct({_ALNUM_WORDS}) as w from benchmark),
+bt as (select q, item_id, unnest(w) as term from b),
+terms as (select distinct term from bt),
+tf as (select k, doc_id, n, term, count(*) as tf from (select k, doc_id, len(w) as n, unnest(w) as term from d) semi join terms using (term)
+       group by all),
+wt as (select term, cast(floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1))) as bigint) as w from tf, s group by term),
+sc as (select q, item_id, k, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * nd) // lt))))) as bigint) as score
+       from bt join tf using (term) join wt using (term), s group by all),
+r as (select *, row_number() over (partition by q order by score desc, doc_id) as rank from sc where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, score from r where rank <= {lexical_search.TOP}
+""",
+)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical_search.search(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
