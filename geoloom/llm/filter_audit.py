@@ -51,7 +51,8 @@ def _copies(texts: DataFrame, facts: DataFrame) -> DataFrame:
     """Rows of ``texts`` (_id, _part, _hash, _text) of which a smaller id has the same text."""
     ids = facts.groupBy("_hash").agg(F.min("_id").alias("_least"), F.max("_id").alias("_most"))
     repeated = written(ids.filter("_least < _most").select("_hash"), "repeated-hashes")
-    maybe = Bitmap(repeated, "_hash", repeated.count()).maybe(texts, "_hash")
+    # Written, or else the planner would put the semi-join, with all texts, before the bitmap.
+    maybe = written(Bitmap(repeated, "_hash", repeated.count()).maybe(texts, "_hash"), "maybe-copies")
     firsts = written(maybe.groupBy("_hash", "_text").agg(F.min("_id").alias("_first")), "first-copies").alias("b")
     same = (F.col("a._hash") == F.col("b._hash")) & (F.col("a._text") == F.col("b._text"))
     return maybe.alias("a").join(firsts, same & (F.col("b._first") < F.col("a._id")), "left_semi")
