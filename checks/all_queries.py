@@ -1 +1 @@
-from checks import q_catalog, q_geometry, q_schema, q_sources, q_stats  # noqa: F401
+from checks import q_catalog, q_geometry, q_publish, q_schema, q_sources, q_stats  # noqa: F401

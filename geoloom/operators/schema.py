@@ -154,6 +154,18 @@ def lowercase(names: list[str]) -> list[str]:
     return out
 
 
+def free_names(names: list[str], taken: tuple[str, ...]) -> list[str]:
+    """Lower-case names none of which is ``taken``; a clash gets the count of names so far, or the next free number."""
+    used, out = {*taken}, []
+    for name in names:
+        candidate, n = name.lower(), len(out)
+        while candidate in used:
+            candidate, n = f"{name.lower()}_{n}", n + 1
+        used.add(candidate)
+        out.append(candidate)
+    return out
+
+
 def lowercase_names(df: DataFrame) -> DataFrame:
     return df.toDF(*lowercase(df.columns))
 

@@ -18,6 +18,11 @@ def read_dataset(spark: SparkSession, path: str, where: str | Column | None = No
     return df if where is None else df.filter(where)
 
 
+def in_region(df: DataFrame, x0: float, x1: float, y0: float, y1: float) -> DataFrame:
+    """Rows whose nested bbox has its lower corner in the region."""
+    return df.filter(F.col("bbox.xmin").between(x0, x1) & F.col("bbox.ymin").between(y0, y1))
+
+
 def read_region(
     spark: SparkSession, path: str, x0: float, x1: float, y0: float, y1: float, where: str | Column | None = None
 ) -> DataFrame:
@@ -26,7 +31,7 @@ def read_region(
     The nested comparison is pushed down to Parquet row groups.
     """
     df = read_dataset(spark, path, where)
-    inside = df.filter(F.col("bbox.xmin").between(x0, x1) & F.col("bbox.ymin").between(y0, y1))
+    inside = in_region(df, x0, x1, y0, y1)
     attributes = [F.col(f"`{c}`") for c in df.columns if c not in ("geom", "geometry", "bbox")]
     geom = "geometry" if "geometry" in df.columns else "geom"
     return inside.select(
@@ -44,12 +49,14 @@ def write_vector_dataset(
     extent: tuple[float, float, float, float] | None = None,
     max_records_per_file: int = 5_000_000,
     mode: str = "errorifexists",
+    dynamic: bool = False,
 ) -> None:
     """Attributes, geometry, bbox; zstd; field ids and descriptions; rows in Hilbert order.
 
     The rows are range-partitioned by (partition columns, curve position): a small partition value ends up in
     one file, a value that has a large share of the rows in several, each a stretch of the curve. With a
     known SRID the curve covers the whole domain of the CRS, so no pass over the data has to find its extent.
+    With ``dynamic``, an overwrite replaces the folders of the partition values at hand and no others.
     """
     if extent is None and epsg is not None:
         extent = domain(epsg)
@@ -57,6 +64,8 @@ def write_vector_dataset(
     described = with_field_ids(ordered, docs, epsg=epsg, partition_by=partition_by)
     placed = hilbert_sort(described, extent, bits, leading=partition_by)
     writer = placed.write.mode(mode).option("compression", "zstd").option("maxRecordsPerFile", max_records_per_file)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -40,9 +40,13 @@ def read_manifest(spark: SparkSession, path: str, entry: str = VECTOR_ENTRY) ->
 
 def read_table_metadata(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame]:
     """(fields, totals): current schema fields (file, id, name, type, doc) and (file, total_records)."""
-    documents = spark.read.text(paths, wholetext=True, recursiveFileLookup=True).select(
-        F.col("_metadata.file_path").alias("file"), F.from_json("value", TABLE_METADATA).alias("m")
-    )
+    texts = spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
+    return parse_table_metadata(texts.select(F.col("_metadata.file_path").alias("file"), "value"))
+
+
+def parse_table_metadata(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same of documents (file, value) that are at hand."""
+    documents = texts.select("file", F.from_json("value", TABLE_METADATA).alias("m"))
     current = F.get(F.filter("m.schemas", lambda s: s["schema-id"] == F.col("m.current-schema-id")), 0)
     schema = F.when(F.col("m.schemas").isNotNull(), current).otherwise(F.col("m.schema"))
     fields = documents.select("file", schema.alias("s")).select("file", F.inline("s.fields"))
