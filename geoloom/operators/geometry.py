@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import geometry as G
 from geoloom.functions.geometry import BBOX_NAMES
+from geoloom.functions.names import exact
 from geoloom.operators.schema import canonical_order, srid_of, with_srid
 
 
@@ -26,7 +27,7 @@ def add_bbox(df: DataFrame, geom: str = "geom", flag: str | None = None) -> Data
     The four columns come out of one generator. A later filter on them therefore stays above it and does
     not make the Arrow function run a second time, while filters on other columns still reach the scan.
     """
-    others = [F.col(f"`{c}`") for c in df.columns if c not in BBOX_NAMES]
+    others = [exact(c) for c in df.columns if c not in BBOX_NAMES]
     if flag:
         return df.select(*others, F.inline_outer(F.array(G.checked_bbox(F.col(geom)))).alias(*BBOX_NAMES, flag))
     return df.select(*others, F.inline_outer(F.array(G.wkb_bbox(F.col(geom)))).alias(*BBOX_NAMES))
@@ -94,11 +95,11 @@ def encode_geometry(df: DataFrame, geometry: str = "geometry") -> tuple[DataFram
 
     A null geometry is no error: the row is kept with a null ``geom``.
     """
-    others = [F.col(f"`{c}`") for c in df.columns if c != geometry]
+    others = [exact(c) for c in df.columns if c != geometry]
     head = df.select("*", F.from_json(geometry, G.GEOJSON_HEAD).alias("_g"))
     kind = F.col("_g.type")
     read = head.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+        *[exact(c) for c in df.columns],
         G.geojson_code(kind).alias("_code"),
         G.geojson_parts(kind, F.col("_g.coordinates")).alias("_parts"),
     )
@@ -117,7 +118,7 @@ def export_features(df: DataFrame, geom: str = "geom") -> DataFrame:
     A geometry that cannot be written (a collection, damaged bytes) is an error, never a silent null.
     """
     attributes = [c for c in df.columns if c not in (geom, *BBOX_NAMES, "bbox")]
-    properties = F.to_json(F.struct(*[F.col(f"`{c}`") for c in attributes]), {"ignoreNullFields": "false"})
+    properties = F.to_json(F.struct(*[exact(c) for c in attributes]), {"ignoreNullFields": "false"})
     decoded = df.withColumn("_parts", G.wkb_parts(F.col(geom)))
     geometry = G.geojson_text(G.wkb_type_code(F.col(geom)), F.col("_parts"))
     refused = F.raise_error(F.lit("geometry cannot be written as GeoJSON")).cast("string")

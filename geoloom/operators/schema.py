@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geoloom.functions.geometry import BBOX_NAMES
+from geoloom.functions.names import exact
 
 FIELD_ID = "parquet.field.id"
 DOC_BYTES = 300
@@ -182,7 +183,7 @@ def drop_columns(df: DataFrame, names: list[str] = ("OGC_FID",)) -> DataFrame:
 
 def flatten_bbox(df: DataFrame, geom: str = "geom", bbox: str = "bbox") -> DataFrame:
     """Attributes, ``geom_wkb`` and the four ``fp_*`` footprint columns instead of geometry and struct."""
-    attributes = [F.col(f"`{c}`") for c in df.columns if c not in (geom, bbox)]
+    attributes = [exact(c) for c in df.columns if c not in (geom, bbox)]
     return df.select(
         *attributes,
         F.col(geom).alias("geom_wkb"),
@@ -194,7 +195,7 @@ def canonical_order(df: DataFrame, geom: str = "geom") -> DataFrame:
     """Attributes, then geometry, then the bbox columns."""
     tail = [geom, *BBOX_NAMES]
     attributes = [c for c in df.columns if c not in tail]
-    return df.select(*[F.col(f"`{c}`") for c in [*attributes, *tail]])
+    return df.select(*[exact(c) for c in [*attributes, *tail]])
 
 
 def hide_bbox(df: DataFrame) -> DataFrame:
@@ -249,7 +250,7 @@ def with_field_ids(
     for field in df.schema.fields:
         meta = dict(field.metadata)
         if field.name in partition_by:
-            picked.append(F.col(f"`{field.name}`"))
+            picked.append(exact(field.name))
             continue
         number += 1
         doc = docs.get(field.name, field.name)
@@ -258,7 +259,7 @@ def with_field_ids(
             doc = geometry_doc(meta["srid"], docs.get(geom, ""))
         meta[FIELD_ID] = number
         meta["comment"] = doc.encode()[:DOC_BYTES].decode("utf-8", "ignore")
-        picked.append(F.col(f"`{field.name}`").alias(field.name, metadata=meta))
+        picked.append(exact(field.name).alias(field.name, metadata=meta))
     return df.select(*picked)
 
 

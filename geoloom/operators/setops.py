@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.functions.names import quoted
+
 # Order of the kinds in the index.
 KIND_ORDER = {"vector": 1, "tabular": 2, "raster": 3}
 
@@ -17,7 +19,7 @@ def latest_per_id(df: DataFrame, key: str = "id", order: tuple[str, ...] = ("seq
     """
     rest = [c for c in df.columns if c != key]
     last = F.max_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(key).agg(last.alias("_last")).select(key, *[F.col(f"_last.`{c}`").alias(c) for c in rest])
+    return df.groupBy(key).agg(last.alias("_last")).select(key, *[F.col(f"_last.{quoted(c)}").alias(c) for c in rest])
 
 
 def upsert_manifest(old: DataFrame, new: DataFrame, key: str = "id", seq: str = "seq") -> DataFrame:

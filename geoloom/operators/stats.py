@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from geoloom.functions import bounds as B
 from geoloom.functions.geometry import BBOX_NAMES, wgs84_bbox
 from geoloom.functions.guards import all_finite
+from geoloom.functions.names import exact
 from geoloom.operators.schema import published_type
 
 _NO_BOUNDS = (T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
@@ -36,7 +37,7 @@ def _statistics(df: DataFrame, by: tuple[str, ...], geom: str, fold_bbox: bool)
     measures, entries = [F.count(F.lit(1)).alias("_n")], []
     corners: dict[str, int] = {}
     for i, field in enumerate(fields):
-        source = F.col(f"`{field.name}`")
+        source = exact(field.name)
         measures.append(F.count(source).alias(f"_given{i}"))
         if not isinstance(field.dataType, _NO_BOUNDS):
             value = _orderable(field, source)

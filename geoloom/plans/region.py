@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions.geometry import BBOX_NAMES
 from geoloom.functions.guards import all_finite
+from geoloom.functions.names import exact
 from geoloom.operators import schema as S
 from geoloom.operators import stats as ST
 from geoloom.sources import datasets as D
@@ -35,7 +36,7 @@ def publish_region(
     corners = [f"bbox.{c}" for c in BBOX_NAMES]
     found = found.filter(F.col(geom).isNotNull() & all_finite(*corners))
     names = [c for c in found.columns if c not in (geom, "bbox")]
-    rows = found.select(*[F.col(f"`{c}`") for c in names], geom, *corners)
+    rows = found.select(*[exact(c) for c in names], geom, *corners)
     rows = rows.toDF(*S.free_names(names, ("geom", "bbox", *BBOX_NAMES)), "geom", *BBOX_NAMES)
     plain = S.coerce_types(rows, "strict")
     D.write_vector_dataset(plain, path, partition_by, docs, epsg, bits)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from geoloom.functions.crs import domain
 from geoloom.functions.geometry import BBOX_NAMES
+from geoloom.functions.names import exact
 from geoloom.operators.layout import hilbert_sort
 from geoloom.operators.schema import FIELD_ID, canonical_order, with_field_ids
 
@@ -32,7 +33,7 @@ def read_region(
     """
     df = read_dataset(spark, path, where)
     inside = in_region(df, x0, x1, y0, y1)
-    attributes = [F.col(f"`{c}`") for c in df.columns if c not in ("geom", "geometry", "bbox")]
+    attributes = [exact(c) for c in df.columns if c not in ("geom", "geometry", "bbox")]
     geom = "geometry" if "geometry" in df.columns else "geom"
     return inside.select(
         *attributes, F.col(geom).alias("geom"), *[F.col(f"bbox.{n}").alias(n) for n in BBOX_NAMES]
