@@ -4,9 +4,10 @@ Segment-partition edit join, in built-in functions only. A line is split into th
 the threshold contains one of them unchanged, at a place that is off by no more than the edits before and after it
 allow. So each line is indexed by (length, number of the segment, segment) and probes, for each length from its own
 down to the threshold less, the substrings at the allowed places. Probes pass a bitmap of the index keys of bounded
-size first; it lets keys through that are not in the index, never the reverse. Candidates whose numbers of some
-common letters differ too much never leave the join, those that share too few pieces are dropped. The others are
-verified between their common ends by an edit distance whose band of rows is one machine word, column by column.
+size first; it lets keys through that are not in the index, never the reverse. Most lines share no key with another
+one; of those that do, the texts and the numbers of common letters are looked up. Candidates whose numbers differ too
+much never leave the join, those that share too few pieces are dropped. The others are verified between their common
+ends by an edit distance whose band of rows is one machine word, column by column.
 
 A line's place is (document id, number of the line). Lines are judged on the input, not on what is left. Lines of
 fewer than ``MIN_CHARS`` code points have no near partners; their exact copies go from ``copies_from`` code points on,
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.bitmaps import Bitmap
+from geoloom.llm.bitmaps import Bitmap, WordBitmap
 from geoloom.llm.common import set_aside, written
 
 THRESHOLD = 2
@@ -35,8 +36,8 @@ MIN_CHARS = 24
 WORD = r"[^\x20\x09-\x0D]"
 #: Pieces of the last filter before the distance is computed; each edit can spoil one.
 PIECES = 8
-#: Characters whose numbers are compared before anything else; each edit changes a number by one at most.
-COUNTED, _COUNT_BITS = " eantiros", 7
+#: Characters whose numbers are compared before anything else; an edit changes two of the numbers by one at most.
+COUNTED = " etaoinshrdlcumwfgypbvkjxqz.,012"
 
 ADDED = ("n_lines", "n_removed", "kept_text")
 
@@ -60,31 +61,37 @@ def probes(threshold: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def _key(line: Column, length: Column, shorter: int, i: int, shift: int, threshold: int) -> Column:
-    start, size = _segment(length - shorter, i, threshold + 1)
-    start = start + shift
-    fits = (length - shorter >= MIN_CHARS) & (start >= 1) & (start + size - 1 <= length)
-    return F.when(fits, F.xxhash64(length - shorter, F.lit(i), F.substring(line, start, size)))
+def keyed(lines: DataFrame, which: list[tuple[int, int, int]], threshold: int) -> DataFrame:
+    """(_h, _key): the keys of the given (length difference, segment, shift) of each line (_h, _line, _chars)."""
+    # The choices are rows before the keys are made: one short expression, whatever their number.
+    choice = [F.struct(F.lit(d).alias("_shorter"), F.lit(i).alias("_i"), F.lit(shift).alias("_shift")) for d, i, shift in which]
+    rows = lines.select("_h", "_line", "_chars", F.inline(F.array(*choice)))
+    parts, length = threshold + 1, F.col("_chars") - F.col("_shorter")
+    base, rest = F.expr(f"cast((_chars - _shorter) div {parts} as int)"), length % parts
+    start = 1 + (F.col("_i") - 1) * base + F.greatest(F.lit(0), F.col("_i") - 1 - (parts - rest)) + F.col("_shift")
+    size = base + F.when(F.col("_i") > parts - rest, 1).otherwise(0)
+    fits = (length >= MIN_CHARS) & (start >= 1) & (start + size - 1 <= F.col("_chars"))
+    key = F.when(fits, F.xxhash64(length, F.col("_i"), F.substring("_line", start, size)))
+    return rows.select("_h", key.alias("_key")).filter("_key is not null")
 
 
 def _counts(line: Column) -> Column:
-    """How often each of ``COUNTED`` occurs, packed into one number."""
+    """How often each of ``COUNTED`` occurs, modulo 4 and in Gray code, packed into one number: a count that changes
+    by one changes one bit."""
     packed = F.lit(0).cast("long")
     for i, c in enumerate(COUNTED):
-        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
-        packed = packed.bitwiseOR(F.shiftleft(n.cast("long").bitwiseAND((1 << _COUNT_BITS) - 1), i * _COUNT_BITS))
+        n = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(3)
+        packed = packed.bitwiseOR(F.shiftleft(n.bitwiseXOR(F.shiftright(n, 1)).cast("long"), 2 * i))
     return packed
 
 
 def _alike(a: str, b: str, threshold: int) -> str:
     """Condition on two packed numbers that any two lines within the threshold meet."""
-    size = 1 << _COUNT_BITS
-    parts = [f"(shiftright({a}, {i * _COUNT_BITS}) - shiftright({b}, {i * _COUNT_BITS}) + {threshold}) & {size - 1}" for i in range(len(COUNTED))]
-    return " and ".join(f"({p}) <= {2 * threshold}" for p in parts)
+    return f"bit_count({a} ^ {b}) <= {2 * threshold}"
 
 
 def judged_lines(documents: DataFrame, doc_id: str, text: str, copies_from: int = MIN_CHARS) -> DataFrame:
-    """Every line that is judged: _doc, _text_hash, _pos, _line, _chars, _place, _n, and its hashes _h1 and _h2."""
+    """Every line that is judged: _doc, _text_hash, _pos, _line, _chars, _place, and its hashes _h1 and _h2."""
     rows = documents.filter(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("_doc"), F.xxhash64(text).alias("_text_hash"), F.posexplode(F.split(text, "\n")).alias("_pos", "_line")
     )
@@ -94,7 +101,7 @@ def judged_lines(documents: DataFrame, doc_id: str, text: str, copies_from: int
         judged = judged | ((chars >= copies_from) & F.col("_line").rlike(WORD))
     rows = rows.withColumn("_chars", F.length("_line")).filter(judged)
     place = F.col("_doc").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("_pos").cast("decimal(10,0)")
-    return rows.withColumns({"_place": place.cast("decimal(38,0)"), "_n": _counts(F.col("_line"))}).select("*", *_hashes())
+    return rows.withColumn("_place", place.cast("decimal(38,0)")).select("*", *_hashes())
 
 
 def _hashes() -> list[Column]:
@@ -187,25 +194,29 @@ def _share_pieces(a: str, b: str, threshold: int) -> Column:
 
 def close_lines(lines: DataFrame, n_lines: int, threshold: int) -> DataFrame:
     """(_h1, _h2, _near): for every line with a partner within the threshold, the partners' first place."""
-    lines = lines.filter(F.col("_chars") >= MIN_CHARS)
-    own = lines.select("_line", "_chars", F.col("_h1").alias("_h"), "_n")
+    lines = lines.filter(F.col("_chars") >= MIN_CHARS).withColumnRenamed("_h1", "_h")
     plans = probes(threshold)
     at_home = [p for p in plans if p[0] == 0 and p[2] == 0]
 
-    def keyed(which: list[tuple[int, int, int]]) -> DataFrame:
-        keys = F.array_compact(F.array(*[_key(F.col("_line"), F.col("_chars"), *p, threshold) for p in which]))
-        return own.select("_h", "_n", F.explode(keys).alias("_key"))
-
-    index = written(keyed(at_home).distinct(), "segments")
+    index = written(keyed(lines, at_home, threshold).distinct(), "segments")
+    known = WordBitmap(index, "_key", (threshold + 1) * n_lines)
+    probe = written(known.maybe(keyed(lines, [p for p in plans if p not in at_home], threshold), "_key").distinct(), "probes")
+    # Few lines share a key with another one; only these are looked at, with their text and their counts.
+    entries = index.withColumn("_home", F.lit(True)).unionAll(probe.withColumn("_home", F.lit(False)))
+    shared = entries.groupBy("_key").agg(F.min("_h").alias("_low"), F.max("_h").alias("_high"), F.bool_or("_home").alias("_any"))
+    shared = written(shared.filter("_low < _high and _any").select("_key"), "shared-keys")
+    entries = written(entries.join(shared, "_key", "left_semi"), "shared-segments")
+    needed = entries.select("_h").distinct()
+    some = Bitmap(needed, "_h", needed.count()).maybe(lines.select("_h", "_line", "_place"), "_h")
+    texts = some.groupBy("_h", "_line").agg(F.min("_place").alias("_first"))
+    texts = written(texts.withColumn("_n", _counts(F.col("_line"))), "shared-lines")
+    counted = entries.join(texts.select("_h", "_n").distinct(), "_h")
+    home, away = counted.filter("_home"), counted.filter("not _home")
     alike = _alike("x._n", "y._n", threshold)
-    same = index.alias("x").join(index.alias("y"), "_key").filter(f"x._h < y._h and {alike}").selectExpr("x._h as _a", "y._h as _b")
-    known = Bitmap(index, "_key", (threshold + 1) * n_lines)
-    probe = known.maybe(keyed([p for p in plans if p not in at_home]), "_key").distinct()
-    found = probe.alias("x").join(index.alias("y"), "_key").filter(f"x._h <> y._h and {alike}").selectExpr("least(x._h, y._h) as _a", "greatest(x._h, y._h) as _b")
+    same = home.alias("x").join(home.alias("y"), "_key").filter(f"x._h < y._h and {alike}").selectExpr("x._h as _a", "y._h as _b")
+    found = away.alias("x").join(home.alias("y"), "_key").filter(f"x._h <> y._h and {alike}").selectExpr("least(x._h, y._h) as _a", "greatest(x._h, y._h) as _b")
     pairs = written(same.unionAll(found).distinct(), "line-pairs")
-    needed = pairs.select(F.explode(F.array("_a", "_b")).alias("_h")).distinct()
-    some = Bitmap(needed, "_h", needed.count()).maybe(lines.withColumnRenamed("_h1", "_h").select("_h", "_line", "_place"), "_h")
-    texts = written(some.groupBy("_h", "_line").agg(F.min("_place").alias("_first")), "pair-lines")
+    texts = texts.drop("_n")
     left = texts.withColumnsRenamed({"_h": "_a", "_line": "_la", "_first": "_fa"})
     right = texts.withColumnsRenamed({"_h": "_b", "_line": "_lb", "_first": "_fb"})
     both = pairs.join(left, "_a").join(right, "_b").filter(_share_pieces("_la", "_lb", threshold))
