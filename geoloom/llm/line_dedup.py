@@ -11,7 +11,7 @@ ends by an edit distance whose band of rows is one machine word, column by colum
 
 A line's place is (document id, number of the line). Lines are judged on the input, not on what is left. Lines of
 fewer than ``MIN_CHARS`` code points have no near partners; their exact copies go from ``copies_from`` code points on,
-if they hold a word. The SQL of op7 leaves them all alone, hence the default; 1 takes every line that holds a word.
+if they hold a word: 1 takes every line that holds a word, the default none of the short ones.
 
 The lines are split off and hashed once and written to the shared folder, from which every later step reads the
 columns it needs. Texts are never shuffled whole: lines travel as hashes, only the lines of candidates and the documents that lose a

@@ -202,15 +202,17 @@ _COUNTED = "aeinorsthl"
     f"""
 with l as (select doc_id, text, unnest(string_split(text, chr(10))) as line, unnest(range(0, len(string_split(text, chr(10))))) as pos
            from documents where text is not null),
-j as (select *, doc_id * 4294967296 + pos as place from l where length(line) >= {line_dedup.MIN_CHARS} and doc_id is not null),
+j as (select *, doc_id * 4294967296 + pos as place from l
+      where doc_id is not null and (length(line) >= {line_dedup.MIN_CHARS} or regexp_matches(line, '[^\\x20\\x09-\\x0D]'))),
 u as (select line, min(place) as first_place, length(line) as n,
              translate(line, '{_ACCENTED}', '{_ONE_BYTE}') as bytes,
              {', '.join(f"length(replace(line, '{c}', '')) as n_{c}" for c in _COUNTED)}
       from j group by line),
-x as (select *, unnest(range(n - {line_dedup.THRESHOLD}, n + {line_dedup.THRESHOLD + 1})) as m from u),
-near as (select x.line, min(u.first_place) as near_place from x join u on x.m = u.n and x.line <> u.line
-             {' '.join(f"and abs((x.n - x.n_{c}) - (u.n - u.n_{c})) <= {line_dedup.THRESHOLD}" for c in _COUNTED)}
-             and levenshtein(x.bytes, u.bytes) <= {line_dedup.THRESHOLD}
+v as (select * from u where n >= {line_dedup.MIN_CHARS}),
+x as (select *, unnest(range(n - {line_dedup.THRESHOLD}, n + {line_dedup.THRESHOLD + 1})) as m from v),
+near as (select x.line, min(v.first_place) as near_place from x join v on x.m = v.n and x.line <> v.line
+             {' '.join(f"and abs((x.n - x.n_{c}) - (v.n - v.n_{c})) <= {line_dedup.THRESHOLD}" for c in _COUNTED)}
+             and levenshtein(x.bytes, v.bytes) <= {line_dedup.THRESHOLD}
          group by x.line),
 gone as (select j.doc_id, j.pos from j join u using (line) left join near using (line)
          where j.place > least(u.first_place, coalesce(near_place, u.first_place))),
@@ -223,7 +225,7 @@ from documents d left join n using (doc_id) left join kept using (doc_id)
 """,
 )
 def op7(spark: SparkSession, sf: str) -> DataFrame:
-    found = line_dedup.dedup_lines(_documents(spark, sf).select("doc_id", "text"))
+    found = line_dedup.dedup_lines(_documents(spark, sf).select("doc_id", "text"), copies_from=1)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
