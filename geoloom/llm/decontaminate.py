@@ -3,7 +3,9 @@
 Every shard of documents (a bounded number of words of one task's rows, whole documents) gets a suffix array over
 its words, sorted to the depth of the longest benchmark item. Every suffix of every item is looked up in it by
 binary search. Matches of at least ``window`` words (or of the whole item, if that is shorter) are hits; each is
-extended to its longest verbatim length. Nothing is shuffled, and the benchmark travels in packets of bounded size.
+extended to its longest verbatim length. Nothing is shuffled. The benchmark travels in packets, of which at most
+``ROUND_BYTES`` are with the tasks at a time: a larger benchmark takes more rounds, each a pass over the documents that
+adds to the matches of the one before.
 
 Words are compared by 64-bit hashes, which cannot clash for words of equal length up to eight bytes; longer words
 clash with a probability of the order of 2**-64 a pair.
@@ -26,13 +28,13 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from geoloom.llm import arrowtext as at
-from geoloom.llm.common import added_to, set_aside
+from geoloom.llm.common import added_to, set_aside, written
 
 WINDOW = 10
 #: Words of one suffix array; ranks and places of 21 bits each fit a 64-bit sort key. A longer document has its own.
 SHARD_WORDS = 1 << 20
-#: Bytes of benchmark text in one packet.
-PACKET_BYTES = 8 << 20
+#: Characters of benchmark text in one packet, and in the packets of one round.
+PACKET_BYTES, ROUND_BYTES = 8 << 20, 64 << 20
 
 MATCH = T.StructType(
     [
@@ -193,6 +195,34 @@ def _packets(benchmark: DataFrame, item_id: str, text: str, most: int) -> Iterat
         yield _packet(rows)
 
 
+def _rounds(packets: Iterator[dict], packet_bytes: int, round_bytes: int) -> Iterator[list[dict]]:
+    """Packets of one round after the other; the last may be empty."""
+    most, held = max(1, round_bytes // packet_bytes), []
+    for packet in packets:
+        if len(held) == most:
+            yield held
+            held = []
+        held.append(packet)
+    yield held
+
+
+def _covered(matches: list[tuple]) -> int:
+    """Words that lie in any of the matches. A match holds nothing but words of windows."""
+    total, end = 0, 0
+    for _, _, start, length in sorted(matches, key=lambda m: m[2]):
+        total += max(0, start + length - max(start, end))
+        end = max(end, start + length)
+    return total
+
+
+def _together(row: tuple, before: tuple) -> tuple:
+    """A document's row of one round and that of the rounds before."""
+    items = sorted({*row[3], *before[3]})
+    earlier = [(m["item_id"], m["item_start"], m["doc_start"], m["length"]) for m in before[4]]
+    matches = sorted([*row[4], *earlier], key=lambda m: (m[2], m[1], m[0] or ""))
+    return row[0], _covered(matches), len(items), items, matches
+
+
 def _occurrences(array: SuffixArray, packet: dict, window: int) -> tuple[np.ndarray, ...]:
     """Item, start in the item, place, matched words and longest length of every occurrence of a window."""
     test, first = array.codes(packet["hashes"]), packet["first"]
@@ -244,7 +274,9 @@ def _shard(hashes: np.ndarray, first: np.ndarray, packets, window: int) -> list[
     return [(int(n_words[d]), int(hits[d]), len(listed[d]), sorted(listed[d]), sorted(matches[d], key=lambda m: (m[2], m[1], m[0] or ""))) for d in range(n_docs)]
 
 
-def _scan(packets, window: int, column: str, keep: list[str], added: pa.Schema, most: int):
+def _scan(packets, window: int, column: str, keep: list[str], added: pa.Schema, most: int, further: bool):
+    """``further``: the batches have the result columns of the rounds before."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]] = []
 
@@ -256,6 +288,9 @@ def _scan(packets, window: int, column: str, keep: list[str], added: pa.Schema,
             for batch, _, first in held:
                 own = rows[done : done + len(first) - 1]
                 done += len(own)
+                if further:
+                    before = zip(*(batch.column(name).to_pylist() for name in added.names), strict=True)
+                    own = [_together(row, b) for row, b in zip(own, before, strict=True)]
                 columns = [pa.array([r[i] for r in own], field.type) for i, field in enumerate(added)]
                 fields = [batch.schema.field(name) for name in keep] + list(added)
                 yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + columns, schema=pa.schema(fields))
@@ -287,14 +322,22 @@ def find_contamination(
     window: int = WINDOW,
     shard_words: int = SHARD_WORDS,
     packet_bytes: int = PACKET_BYTES,
+    round_bytes: int = ROUND_BYTES,
 ) -> DataFrame:
     """Documents with ``n_words``, ``n_hit`` (words inside a matched window), ``n_items``, ``items`` (ids, sorted as
     strings) and ``matches`` (longest verbatim matches: item, start in the item, start in the document, words)."""
     spark = documents.sparkSession
-    packets = [spark.sparkContext.broadcast(p) for p in _packets(benchmark, item_id, item_text, packet_bytes)]
     keep, schema = added_to(documents, ADDED)
-    run = _scan(packets, window, text, keep, to_arrow_schema(ADDED), shard_words)
-    return documents.mapInArrow(run, schema)
+    found, sent = None, []
+    for packets in _rounds(_packets(benchmark, item_id, item_text, packet_bytes), packet_bytes, round_bytes):
+        if found is not None:  # what the round before sent goes before this one sends
+            found = written(found, "contamination-round")
+            for one in sent:
+                one.destroy()
+        sent = [spark.sparkContext.broadcast(p) for p in packets]
+        run = _scan(sent, window, text, keep, to_arrow_schema(ADDED), shard_words, found is not None)
+        found = (documents if found is None else found).mapInArrow(run, schema)
+    return found
 
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -187,6 +187,9 @@ def test_decontamination(spark, documents, rows, shard_words):
     clean = decontaminate.remove_contaminated(documents.withColumn("n_hit", F.lit("own")), benchmark, shard_words=shard_words)
     assert clean.columns == [*documents.columns, "n_hit"] and {r.n_hit for r in clean.collect()} == {"own"}
     assert clean.count() == sum(not x[2] for x in got)
+    rounds = decontaminate.find_contamination(documents, benchmark, packet_bytes=1, round_bytes=2)
+    plain = lambda df: sorted((_key((r.doc_id, r.n_words, r.n_hit, r.n_items, list(r["items"]), sorted(map(str, r.matches)))) for r in df.collect()))
+    assert plain(rounds) == plain(found)
     several = decontaminate.find_contamination(documents, benchmark, packet_bytes=1)
     assert sorted((_key((r.doc_id, r.n_hit)) for r in several.collect())) == sorted(_key((x[0], x[2])) for x in got)
 
