@@ -297,17 +297,17 @@ def w03(spark, sf):
 
 @query(
     "w03_progress_null_keys",
-    "select id, status, publisher, row_number() over w as i, count(*) over (partition by publisher) as total"
-    f" from (select case when id % 11 = 0 and id % 7 = 0 then null else id end as id, {_STATUS} as status,"
-    " case when id % 7 = 0 then null else 'p' || id % 5 end as publisher from $F8 where id % 77 <> 0 or id = 77)"
-    " window w as (partition by publisher order by id nulls first rows between unbounded preceding and current row)",
+    "select id, ref, status, publisher, row_number() over w as i, count(*) over (partition by publisher) as total"
+    f" from (select case when id % 11 = 0 and id % 7 = 0 then null else id end as id, id as ref, {_STATUS} as status,"
+    " case when id % 7 = 0 then null else 'p' || id % 5 end as publisher from $F8)"
+    " window w as (partition by publisher order by id nulls first, ref rows between unbounded preceding and current row)",
 )
 def w03_null_keys(spark, sf):
-    """A seventh of the runs has no publisher, one of them no sequence number."""
-    runs = results(spark, sf).filter("id % 77 <> 0 or id = 77")
+    """A seventh of the runs has no publisher, some of them no sequence number; those are in order of another column."""
+    runs = results(spark, sf).withColumn("ref", F.col("id"))
     publisher = F.when(F.col("id") % 7 != 0, F.concat(F.lit("p"), (F.col("id") % 5).cast("string")))
-    runs = runs.withColumn("publisher", publisher).withColumn("id", F.expr("case when id = 77 then null else id end"))
-    return W.progress(runs, "publisher", "id", block_rows=1000).select("id", "status", "publisher", "i", "total")
+    runs = runs.withColumn("publisher", publisher).withColumn("id", F.expr("case when id % 77 <> 0 then id end"))
+    return W.progress(runs, "publisher", "id", block_rows=1000, tie="ref").select("id", "ref", "status", "publisher", "i", "total")
 
 
 # --- set operations -----------------------------------------------------------------------------------------

@@ -16,7 +16,9 @@ from geoloom.operators import documents as DOCS
 from geoloom.operators import geometry as OG
 from geoloom.operators import quality as Q
 from geoloom.plans import acceptance as AC
+from geoloom.plans import catalog_run as CR
 from geoloom.plans import layers as LY
+from geoloom.plans import rasters as RS
 from geoloom.plans import region as RG
 from geoloom.session import scratch_path
 from geoloom.sources import datasets as D
@@ -340,3 +342,96 @@ def publish_region(spark, sf):
     assert set(out) == {"files", "columns"}
     found = spark.read.parquet(path)
     return found.select("id", "part_key", "xmin_1", F.octet_length("geom").alias("bytes"), "tags", "xmin", "ymax")
+
+
+# --- grids and the whole catalog --------------------------------------------------------------------------
+
+_GRID = (
+    "(select case when col < 16 and cell_row < 16 then 'Riesgo__small' when col < 48 and cell_row < 40 then 'middle' else 'Riesgo__Wide Grid' end"
+    " as layer, col, cell_row, value from $F7)"
+)
+
+
+def _grids(spark, sf):
+    cells = fixture(spark, sf, "F7").select("col", F.col("cell_row").alias("row"), "value")
+    small, middle = (F.col("col") < 16) & (F.col("row") < 16), (F.col("col") < 48) & (F.col("row") < 40)
+    named = cells.withColumn("layer", F.when(small, "Riesgo__small").when(middle, "middle").otherwise("Riesgo__Wide Grid"))
+    rows = [("Riesgo__small", "Small"), ("middle", None), ("Riesgo__Wide Grid", "Wide"), ("Other__absent", "Absent")]
+    place = [F.lit(v).alias(n) for n, v in (("origin_x", 440000.0), ("origin_y", 4480000.0), ("pixel_x", 5.0), ("pixel_y", -5.0))]
+    return named, spark.createDataFrame(rows, "id string, title string").select("*", *place)
+
+
+@query(
+    "l10_publish_rasters",
+    f"with recursive d as (select layer, greatest(ceil(log2(greatest(max(col) + 1, max(cell_row) + 1) / 16.0)), 0) as depth from {_GRID} group by layer),"
+    f" p(layer, level, col, cell_row) as (select layer, 0, col, cell_row from {_GRID} union all"
+    " select p.layer, level + 1, col // 2, cell_row // 2 from p join d using (layer) where col % 2 = 0 and cell_row % 2 = 0 and level < depth),"
+    " t as (select layer, count(distinct (level, cast(col // 16 as bigint), cast(cell_row // 16 as bigint))) as tiles, max(level) + 1 as levels from p group by layer)"
+    " select case layer when 'Riesgo__small' then 'riesgo_small' when 'middle' then 'middle' else 'riesgo_wide_grid' end as id, layer as coverage,"
+    " case layer when 'middle' then 'raster' else 'Riesgo' end as theme, tiles, cast(levels as int) as levels,"
+    " case layer when 'middle' then 'skip' else 'OK' end as status, cast(true as boolean) as plausible from t union all"
+    " select 'other_absent', 'Other__absent', 'Other', null, null, 'FAIL', null from (select 1 from t limit 1)",
+)
+def publish_rasters(spark, sf):
+    """Two deliveries: one grid comes with the first, two with the second, one never."""
+    path = scratch_path(spark, "grids")
+    cells, inventory = _grids(spark, sf)
+    RS.publish_rasters(spark, cells.filter("layer = 'middle'"), inventory, path, C.EPSG, 1, 16)
+    out = RS.publish_rasters(spark, cells, inventory, path, C.EPSG, 2, 16)
+    west, south, east, north = (F.get("wgs", k) for k in range(4))
+    plausible = (west < east) & (south < north) & west.between(-4, -3) & north.between(40, 41)
+    return out.select("id", "coverage", "theme", "tiles", "levels", "status", plausible.alias("plausible"))
+
+
+@query(
+    "l10_raster_tiles",
+    "select 'middle' as dataset, 0 as level, tx, ty, i as at, value from (select distinct cast(col // 16 as bigint) tx, cast(cell_row // 16 as bigint) ty, cast(k.n as int) as i"
+    " from $F7, range(256) k(n) where col < 48 and cell_row < 40 and not (col < 16 and cell_row < 16)) t"
+    " left join (select * from $F7 where col < 48 and cell_row < 40 and not (col < 16 and cell_row < 16)) f on f.col = t.tx * 16 + t.i % 16 and f.cell_row = t.ty * 16 + t.i // 16",
+)
+def raster_tiles(spark, sf):
+    """The base tiles of one grid, read back from its folder."""
+    path = scratch_path(spark, "grids")
+    RS.publish_rasters(spark, *_grids(spark, sf), path, C.EPSG, 1, 16)
+    tiles = spark.read.parquet(f"{path}/data").filter("dataset = 'middle' and level = 0")
+    return tiles.select("dataset", "level", "tx", "ty", F.posexplode("cells").alias("at", "value"))
+
+
+_ENTRIES = (
+    "(select *, case when kind = 'tabular' and seq % 9 = 1 then concat('d', cast(seq + 2 as varchar(20))) else concat('d', cast(seq as varchar(20))) end as id,"
+    " seq % 6 <> 1 as there from $F4)"
+)
+_OUT = (
+    f"(select case when e.kind = 'tabular' and s.id is not null then e.id || '__tab' else e.id end as id, kind from {_ENTRIES} e"
+    f" left join (select distinct id from {_ENTRIES} where kind <> 'tabular') s using (id) where there)"
+)
+
+
+def _manifests(spark, sf):
+    """Entries of the three kinds; some tabular ids are those of a spatial dataset, a sixth has no files."""
+    df = index(spark, sf)
+    clash = (F.col("kind") == "tabular") & (F.col("seq") % 9 == 1)
+    s = F.col("seq").cast("double")
+    named = df.withColumn("id", F.when(clash, F.concat(F.lit("d"), (F.col("seq") + 2).cast("string"))).otherwise(F.col("id")))
+    named = named.withColumn("wgs", F.when(F.col("kind") != "tabular", F.array(s, s, s + 1, s + 1))).withColumn("bbox", CR.entry_box())
+    named = named.withColumn("src", F.concat("kind", F.lit("/"), F.col("seq").cast("string")))
+    there = named.filter("seq % 6 <> 1")
+    files = there.select("src", F.concat("src", F.lit("/part-0.parquet")).alias("file"), F.lit(100).cast("bigint").alias("bytes"), "rows")
+    columns = there.filter("kind <> 'raster'").select("src", F.lit(1).alias("id"), F.lit("code").alias("name"), F.lit("long").alias("type"), F.lit(None).cast("string").alias("doc"))
+    kinds = [named.filter(F.col("kind") == k).select("id", "title", "theme", "rows", "bbox", "src") for k in ("vector", "tabular", "raster")]
+    return kinds, files, columns
+
+
+@query(
+    "l11_publish_catalog",
+    f"with o as {_OUT}, t as (select case kind when 'vector' then 'v3' else 'tab' end as ns, * from o where kind <> 'raster'),"
+    " pages as (select sum(ceil(n / 400.0)) as n from (select ns, count(*) as n from t group by ns))"
+    " select kind as part, count(*) as n from o group by kind union all select 'index', count(*) from o union all select 'tables', count(*) from t union all"
+    " select 'documents', cast(1 + 1 + (select count(distinct ns) from t) + (select n from pages) + count(*) as bigint) from t",
+)
+def publish_catalog(spark, sf):
+    (vector, tabular, raster), files, columns = _manifests(spark, sf)
+    return CR.publish_catalog(
+        spark, vector, tabular, raster, files, columns, scratch_path(spark, "catalog"),
+        collection="region", base=BASE, crs="EPSG:25830", provider="Provider", license="CC-BY-4.0", prefix="sdi", page_size=400,
+    )

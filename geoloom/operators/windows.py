@@ -33,28 +33,36 @@ def outcome(status: Column) -> Column:
     return F.when(status.startswith("OK"), "ok").when(status == "skip", "skip").otherwise("fail")
 
 
-def progress(results: DataFrame, by: str, seq: str = "seq", status: str = "status", block_rows: int = 1_000_000) -> DataFrame:
+def progress(
+    results: DataFrame, by: str, seq: str = "seq", status: str = "status", block_rows: int = 1_000_000, tie: str | None = None
+) -> DataFrame:
     """Running ``i``, ``ok``, ``fail`` and the final ``total`` per group, in order of an integer sequence.
 
-    A null group is a group; rows without a sequence number come first in theirs.
-    The sequence (unique within a group) is cut into blocks of ``block_rows``. Rows are numbered inside
-    their block; the sums of the blocks before are added, so no task has to sort a whole group.
+    A null group is a group; rows without a sequence number come first in theirs, in order of the integer ``tie``,
+    which also decides between equal numbers. Without a tie their order is not defined.
+    The sequence (few rows to a number) is cut into blocks of ``block_rows``, rows without a number into blocks of the
+    tie. Rows are numbered inside their block; the sums of the blocks before are added, so no task has to sort a whole
+    group, nor all rows without a number.
     """
     kind = outcome(F.col(status))
-    rows = results.withColumn("_block", F.floor(F.col(seq) / block_rows)).withColumn("_ok", (kind != "fail").cast("bigint"))
-    inside = Window.partitionBy(by, "_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
+    order = [seq] if tie is None else [seq, tie]
+    unnumbered = F.lit(0) if tie is None else F.when(F.col(seq).isNull(), F.floor(F.col(tie) / block_rows)).otherwise(0)
+    rows = results.withColumns({"_block": F.floor(F.col(seq) / block_rows), "_sub": unnumbered, "_ok": (kind != "fail").cast("bigint")})
+    inside = Window.partitionBy(by, "_block", "_sub").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumn("_i", F.row_number().over(inside)).withColumn("_okrun", F.sum("_ok").over(inside))
-    sums = rows.groupBy(by, "_block").agg(F.count(F.lit(1)).alias("_n"), F.sum("_ok").alias("_oks"))
+    sums = rows.groupBy(by, "_block", "_sub").agg(F.count(F.lit(1)).alias("_n"), F.sum("_ok").alias("_oks"))
     group = Window.partitionBy(by)
-    before = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = group.orderBy("_block", "_sub").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         F.col(by).alias("_by"),
         F.col("_block").alias("_at"),
+        F.col("_sub").alias("_sub_at"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_i0"),
         F.coalesce(F.sum("_oks").over(before), F.lit(0)).alias("_ok0"),
         F.sum("_n").over(group).alias("total"),
     )
-    joined = local.join(offsets, F.col(by).eqNullSafe(F.col("_by")) & F.col("_block").eqNullSafe(F.col("_at")))
+    same = F.col(by).eqNullSafe(F.col("_by")) & F.col("_block").eqNullSafe(F.col("_at")) & F.col("_sub").eqNullSafe(F.col("_sub_at"))
+    joined = local.join(offsets, same)
     i, ok = F.col("_i") + F.col("_i0"), F.col("_okrun") + F.col("_ok0")
     return joined.select(
         *results.columns, i.alias("i"), ok.alias("ok"), (i - ok).alias("fail"), "total"
