@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from checks import common as C
 from checks.q_catalog import BASE, index
 from checks.q_geometry import CORNER_BOX, _feature_text
-from checks.registry import fixture, query
+from checks.registry import fixture, query, table
+from geoloom.functions import text as TX
 from geoloom.operators import attributes as A
 from geoloom.operators import documents as DOCS
 from geoloom.operators import geometry as OG
@@ -18,6 +19,7 @@ from geoloom.operators import quality as Q
 from geoloom.plans import acceptance as AC
 from geoloom.plans import catalog_run as CR
 from geoloom.plans import layers as LY
+from geoloom.plans import packages as PK
 from geoloom.plans import rasters as RS
 from geoloom.plans import region as RG
 from geoloom.session import scratch_path
@@ -435,3 +437,47 @@ def publish_catalog(spark, sf):
         spark, vector, tabular, raster, files, columns, scratch_path(spark, "catalog"),
         collection="region", base=BASE, crs="EPSG:25830", provider="Provider", license="CC-BY-4.0", prefix="sdi", page_size=400,
     )
+
+
+# --- packages ---------------------------------------------------------------------------------------------
+
+_PACKAGE = "'prices_' || trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', '_', 'g'), '_')"
+
+
+def _packages(spark, sf):
+    """A package for each brand of the parts: those of a brand that ends in 1 have no address, those in 2 no file."""
+    parts = table(spark, sf, "part")
+    last = F.substring("p_brand", -1, 1)
+    url = F.when(last != "1", F.concat(F.lit("https://x.example.org/"), "p_brand"))
+    resources = F.array(F.struct(F.lit("PDF").alias("format"), F.lit("https://x.example.org/a.pdf").alias("url")), F.struct(F.lit("CSV").alias("format"), url.alias("url")))
+    brands = parts.select("p_brand").distinct()
+    named = brands.select(
+        F.concat(F.lit("Prices: "), "p_brand").alias("name"), F.col("p_brand").alias("title"), F.lit(None).cast("string").alias("license"),
+        F.when(last == "3", F.array().cast("array<string>")).otherwise(F.array(F.lit("economy"))).alias("groups"), resources.alias("resources"),
+    )
+    rows = parts.select("p_brand", "p_partkey", F.col("p_type").alias("Tipo"), F.col("p_size").alias("TAMAÑO"))
+    ident = F.concat(F.lit("prices_"), TX.slug(F.col("p_brand"), "coverage"))
+    return named, rows.withColumn("package", ident).drop("p_brand")
+
+
+def _deliver(rows, landing):
+    rows.write.mode("append").partitionBy("package").option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(landing)
+
+
+@query(
+    "l12_publish_packages",
+    f"select {_PACKAGE} as id, p_brand as title, case when p_brand like '%3' then 'OpenData' else 'economy' end as theme,"
+    " case when p_brand like '%1' or p_brand like '%2' then null else count(*) end as rows, 'cc-by' as license,"
+    " case when p_brand like '%1' then 'no-csv' when p_brand like '%2' then 'FAIL-download' when p_brand like '%4' then 'skip' else 'OK(' || count(*) || ')' end as status"
+    " from part group by p_brand",
+)
+def publish_packages(spark, sf):
+    """Two deliveries; the first brings the packages of a brand that ends in 4, which the second run skips."""
+    base = scratch_path(spark, "packages")
+    named, rows = _packages(spark, sf)
+    of = F.regexp_extract("_file", "package=([^/]+)/", 1)
+    _deliver(rows.filter("package like '%4'"), f"{base}/landing")
+    PK.publish_packages(spark, named, f"{base}/landing", f"{base}/out", 1, dataset=of)
+    _deliver(rows.filter("package not like '%4' and package not like '%2'"), f"{base}/landing")
+    out = PK.publish_packages(spark, named, f"{base}/landing", f"{base}/out", 2, dataset=of)
+    return out.select("id", "title", "theme", "rows", "license", "status")

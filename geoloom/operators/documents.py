@@ -5,7 +5,7 @@ configuration to a table, and the documents of a static catalog of collections.
 over the columns, files and datasets of the whole catalog at once; ``write_documents`` puts each into a file of its own.
 
 Whatever lists members is paged: a listing of any length is never one row. The first page has the plain key, page k
-the key with ``.page-<k>`` before the ending, and a page names the next one if there is one.
+the key with ``.page-<k>`` behind it, and a page names the next one if there is one.
 """
 
 from __future__ import annotations
@@ -76,8 +76,8 @@ def table_documents(tables: DataFrame, columns: DataFrame, files: DataFrame) ->
 # --- what a catalog client walks ------------------------------------------------------------------------
 
 
-def _page_key(plain: Column, page: Column, ending: str = "") -> Column:
-    return F.when(page == 0, F.concat(plain, F.lit(ending))).otherwise(F.concat(plain, F.lit(".page-"), page.cast("string"), F.lit(ending)))
+def _page_key(plain: Column, page: Column) -> Column:
+    return F.when(page == 0, plain).otherwise(F.concat(plain, F.lit(".page-"), page.cast("string")))
 
 
 def _next(page: Column, last: Column) -> Column:

@@ -120,13 +120,15 @@ def publish_layers(
     features = spark.read.schema(features.schema).parquet(staged)
     listed = features.select(DATASET).distinct()
     signed = listed.join(A.signatures(A.attribute_types(features)), DATASET, "left").withColumn("signature", F.coalesce("signature", F.lit("none")))
-    signed_at = scratch_path(spark, "signatures")
+    signed_at, parted = scratch_path(spark, "signatures"), scratch_path(spark, "signed-layers")
     signed.write.parquet(signed_at)
     signed = spark.read.schema(signed.schema).parquet(signed_at)
+    # A folder a signature: each write job reads its own features and no others.
+    features.join(signed.select(DATASET, "signature"), DATASET).write.partitionBy("signature").option("compression", "zstd").parquet(parted)
 
     made = []
     for found in signed.groupBy("signature").agg(F.first("attributes").alias("attributes")).orderBy("signature").collect():
-        own = features.join(signed.filter(F.col("signature") == found.signature).select(DATASET), DATASET, "left_semi")
+        own = spark.read.schema(features.schema).parquet(f"{parted}/signature={found.signature}")
         typed = typed_features(own, [(a.attribute, a.type) for a in found.attributes or []])
         folder = f"{path}/data/{found.signature}"
         D.write_vector_dataset(normalise_vector(typed, epsg), folder, (DATASET,), epsg=epsg, bits=bits, mode="overwrite", dynamic=True)

@@ -126,10 +126,17 @@ def publish_text_tables(
     expression over ``_file``) the id is the slug of the file name. Files that cannot be read are listed
     with the reason.
     """
+    return placed_text_tables(spark, paths, path, dataset, prefer).drop("folder")
+
+
+def placed_text_tables(
+    spark: SparkSession, paths: list[str], path: str, dataset: Column | None = None, prefer: str = TT.LATIN1
+) -> DataFrame:
+    """The same with ``folder``, the number below ``path`` that holds the dataset."""
     name = F.regexp_extract("_file", r"([^/]+?)(?:\.[^./]*)?$", 1)
     ident = TX.slug(name, "package") if dataset is None else dataset
     tables, rejected = TT.read_text_tables(spark, paths, prefer)
-    done = spark.createDataFrame([], "dataset string, rows bigint, status string")
+    done = spark.createDataFrame([], "dataset string, rows bigint, status string, folder int")
     for number, table in enumerate(tables):
         keyed = S.drop_columns(S.coerce_types(table.df).select("*", ident.alias("dataset")))
         *names, _, _ = S.lowercase(keyed.columns)
@@ -140,7 +147,8 @@ def publish_text_tables(
         written = spark.read.schema(described.schema).parquet(out)
         counts = written.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
         status = F.concat(F.lit("OK("), F.col("rows").cast("string"), F.lit(")"))
-        done = done.unionByName(counts.withColumn("status", status))
+        done = done.unionByName(counts.withColumn("status", status).withColumn("folder", F.lit(number)))
     failed = spark.createDataFrame(rejected, "_file string, why string")
     reason = F.when(F.col("why") == "no rows", "empty").otherwise(F.lit("FAIL-convert"))
-    return done.unionByName(failed.select(ident.alias("dataset"), F.lit(None).cast("bigint").alias("rows"), reason.alias("status")))
+    nothing = F.lit(None).cast("bigint").alias("rows")
+    return done.unionByName(failed.select(ident.alias("dataset"), nothing, reason.alias("status"), F.lit(None).cast("int").alias("folder")))

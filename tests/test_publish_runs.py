@@ -10,7 +10,10 @@ from geoloom.operators import attributes as A
 from geoloom.operators import documents as DOCS
 from geoloom.operators.schema import free_names
 from geoloom.plans import acceptance as AC
+from geoloom.plans import catalog_run as CR
 from geoloom.plans import layers as LY
+from geoloom.plans import packages as PK
+from geoloom.plans import rasters as RS
 from geoloom.plans import region as RG
 from geoloom.session import scratch_path
 from geoloom.sources import documents as DOC
@@ -186,3 +189,74 @@ def test_region_leaves_out_rows_without_geometry_or_box(spark):
     found = spark.read.parquet(path)
     assert sorted(r.id for r in found.collect()) == [2, 5, 7, 8] and found.columns == ["id", "bbox_", "geom_2", "geom", "xmin", "ymin", "xmax", "ymax"]
     assert out["files"].agg(F.sum("rows")).first()[0] == 4
+
+
+# --- grids and the whole catalog ------------------------------------------------------------------------------
+
+
+def _grid_inventory(spark, ids):
+    rows = [(i, f"title of {i}" if i else None, 440000.0, 4480000.0, 5.0, -5.0) for i in ids]
+    return spark.createDataFrame(rows, "id string, title string, origin_x double, origin_y double, pixel_x double, pixel_y double")
+
+
+def test_grid_run_is_resumed(spark):
+    path = scratch_path(spark, "grids")
+    cells = [("T__a", c, r, c * r % 5) for c in range(9) for r in range(5)] + [("b", 0, 0, 7), ("b", 0, 0, 3), ("other", 1, 1, 1)]
+    df = spark.createDataFrame(cells, "layer string, col long, row long, value int").repartition(3)
+    first = RS.publish_rasters(spark, df.filter("layer = 'T__a'"), _grid_inventory(spark, ["T__a", "b", "none"]), path, EPSG, 1, 4)
+    assert {r.id: (r.status, r.tiles, r.levels) for r in first.collect()} == {"t_a": ("OK", 3 * 2 + 2 + 1, 3), "b": ("FAIL", None, None), "none": ("FAIL", None, None)}
+    again = RS.publish_rasters(spark, df, _grid_inventory(spark, ["T__a", "b", "none"]), path, EPSG, 2, 4)
+    assert {r.id: (r.status, r.tiles) for r in again.collect()} == {"t_a": ("skip", 9), "b": ("OK", 1), "none": ("FAIL", None)}
+    told = {r.id: r for r in RS.read_ledger(spark, path).collect()}
+    assert told["t_a"].theme == "T" and told["t_a"].src == "data/dataset=t_a" and len(told["t_a"].wgs) == 4 and told["none"].wgs is None
+    tiles = spark.read.parquet(f"{path}/data")
+    one = tiles.filter("dataset = 'b'").first()
+    assert one["cells"] == [7] + [None] * 15  # of two values of a place the greatest
+    top = tiles.filter("dataset = 't_a' and level = 2").first()
+    assert top["cells"][:3] == [0, 0, 0] and top["cells"][4:6] == [0, 16 % 5]
+
+
+def test_catalog_of_nothing_and_of_clashing_ids(spark):
+    manifest = "id string, title string, theme string, rows long, bbox struct<xmin:double,ymin:double,xmax:double,ymax:double>, src string"
+    files_of, columns_of = "src string, file string, bytes long, rows long", "src string, id int, name string, type string, doc string"
+    settings = dict(collection="c", base="https://b", crs="EPSG:25830", provider="p", license="l", prefix="x")
+
+    def run(vector, tabular, files, columns):
+        path = scratch_path(spark, "catalog")
+        frames = [spark.createDataFrame(r, s) for r, s in ((vector, manifest), (tabular, manifest), ([], manifest), (files, files_of), (columns, columns_of))]
+        return path, {r.part: r.n for r in CR.publish_catalog(spark, *frames, path, **settings).collect()}
+
+    _, none = run([], [], [], [])
+    assert none == {"index": 0, "tables": 0, "documents": 1}
+    path, told = run(
+        [("a", "A", "t", 5, (0.0, 0.0, 1.0, 1.0), "v/a"), ("gone", "G", "t", 5, None, "v/gone")], [("a", "A as a table", "t", 5, None, "t/a")],
+        [("v/a", "v/a/1", 10, 5), ("t/a", "t/a/1", 10, 5)], [("v/a", 1, "c", "long", None), ("t/a", 1, "c", "long", "d")],
+    )
+    assert told == {"vector": 1, "tabular": 1, "index": 2, "tables": 2, "documents": 1 + 1 + 2 + 2 + 2}
+    assert sorted(r.id for r in spark.read.parquet(f"{path}/index").collect()) == ["a", "a__tab"]
+    bodies = {r.key: json.loads(r.body) for r in spark.read.parquet(f"{path}/documents").collect()}
+    assert bodies["v1/x/namespaces/tab/tables"]["identifiers"] == [{"namespace": ["tab"], "name": "a__tab"}]
+    assert bodies["v1/x/namespaces/v3/tables/a"]["metadata"]["properties"]["crs"] == "EPSG:25830"
+
+
+def test_package_run(spark, tmp_path):
+    landing, path = tmp_path / "landing", scratch_path(spark, "packages")
+    landing.mkdir()
+    res = lambda *r: [{"format": f, "url": u} for f, u in r]
+    rows = [
+        ("A one", "A", "MIT", ["g"], res(("PDF", "p"), ("CSV", "u"))), ("b", "B", None, [], res(("CSV", ""), ("CSV", "u"))), ("c", "C", None, None, res(("CSV", None))),
+        ("d", "D", None, [], res(("CSV", "u"))), ("e", "E", None, [], res(("CSV", "u"))), ("f", "F", None, [], res(("SHP", "u"))), ("g", "G", None, [], res(("CSV", "u"))),
+    ]
+    packages = spark.createDataFrame(rows, "name string, title string, license string, groups array<string>, resources array<struct<format:string,url:string>>")
+    none = PK.publish_packages(spark, packages, str(landing), path, 1)
+    assert _status(none) == {"a_one": ("FAIL-download", None), "b": ("FAIL-download", None), "c": ("no-csv", None), "d": ("FAIL-download", None), "e": ("FAIL-download", None), "g": ("FAIL-download", None)}
+    (landing / "a_one.csv").write_bytes("x;ñ\n1;a\n2;b\n".encode("latin-1"))
+    (landing / "b.csv").write_text("X,y\n1,2\n")
+    (landing / "d.csv").write_text("\n\n")
+    (landing / "e.csv").write_text("x;y\n")
+    (landing / "unknown.csv").write_text("x;y\n1;2\n")
+    out = PK.publish_packages(spark, packages, str(landing), path, 2)
+    assert _status(out) == {"a_one": ("OK(2)", 2), "b": ("OK(1)", 1), "c": ("no-csv", None), "d": ("empty", None), "e": ("empty", None), "g": ("FAIL-download", None)}
+    one = out.filter("id = 'a_one'").first()
+    assert (one.theme, one.license) == ("g", "MIT") and sorted(map(tuple, spark.read.parquet(f"{path}/{one.src}").collect())) == [("1", "a"), ("2", "b")]
+    assert PK.publish_packages(spark, packages, str(landing), path, 3).filter("status = 'skip'").count() >= 2
