@@ -41,28 +41,41 @@ SLICE_BYTES = 2 << 20
 
 _WIDTHS = (13, 13, 13, 13, 12)
 _VERSIONS = 16
-_CHOICES = tuple(combinations(range(len(_WIDTHS)), len(_WIDTHS) - BITS))
 
 
-def _pivots() -> tuple[np.uint64, np.ndarray]:
-    """The base, and the versions by range."""
-    base = at.mix(np.array([1], dtype=np.uint64))[0]
-    versions, low = [], 0
-    for g, width in enumerate(_WIDTHS):
-        pattern = at.mix(np.arange(_VERSIONS, dtype=np.uint64) + np.uint64(1000 * (g + 1)))
-        pattern = (pattern & np.uint64((1 << width) - 1) | np.uint64(1)) << np.uint64(low)
-        versions.append(base ^ pattern)
-        low += width
-    return base, np.array(versions)
-
-
-BASE, VERSIONS = _pivots()
+class Pivots:
+    """A base and its versions by bit range (of ``widths`` bits), and the keys of all choices but ``bits`` ranges."""
+
+    def __init__(self, widths: tuple[int, ...], bits: int):
+        self.base = at.mix(np.array([1], dtype=np.uint64))[0]
+        versions, low = [], 0
+        for g, width in enumerate(widths):
+            pattern = at.mix(np.arange(_VERSIONS, dtype=np.uint64) + np.uint64(1000 * (g + 1)))
+            pattern = (pattern & np.uint64((1 << width) - 1) | np.uint64(1)) << np.uint64(low)
+            versions.append(self.base ^ pattern)
+            low += width
+        self.versions = np.array(versions)
+        self.choices = np.array(list(combinations(range(len(widths)), len(widths) - bits)))
+
+    def distances(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the table: distance to the base, and to each range's versions."""
+        to_base = np.bitwise_count(prints ^ self.base).astype(np.int8)
+        return to_base, np.bitwise_count(prints[:, None, None] ^ self.versions[None]).astype(np.int8)
+
+    def keys(self, prints: np.ndarray) -> Iterator[np.ndarray]:
+        """Keys of the fingerprints, for one choice of ranges after the other."""
+        to_base, table = self.distances(prints)
+        relative = (table - to_base[:, None, None]).astype(np.uint8)
+        words = np.ascontiguousarray(relative).reshape(len(prints), len(self.versions), -1).view(np.uint64)
+        ranges = at.pair(words[:, :, 0], words[:, :, 1])
+        for c, choice in enumerate(self.choices):
+            key = np.full(len(prints), c, dtype=np.uint64)
+            for g in choice:
+                key = at.pair(key, ranges[:, g])
+            yield key
 
 
-def distances(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the table: distance to the base, and to each range's versions."""
-    to_base = np.bitwise_count(prints ^ BASE).astype(np.int8)
-    return to_base, np.bitwise_count(prints[:, None, None] ^ VERSIONS[None]).astype(np.int8)
+PIVOTS = Pivots(_WIDTHS, BITS)
 
 
 def shingle_hashes(data: np.ndarray, places: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +103,11 @@ def shingle_hashes(data: np.ndarray, places: np.ndarray, shingle: int = SHINGLE)
 
 def fingerprints(data: np.ndarray, places: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
     """One fingerprint a text."""
-    hashes, counts = shingle_hashes(data, places, shingle)
+    return majorities(*shingle_hashes(data, places, shingle))
+
+
+def majorities(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A fingerprint of each text's hashes: the bits that over half of them have."""
     result = np.zeros(len(counts), dtype=np.uint64)
     some = np.flatnonzero(counts)
     if len(some):
@@ -118,20 +135,13 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ten rows (key, fingerprint, document) for each fingerprint."""
     for batch in batches:
         prints = batch.column(0).to_numpy().view(np.uint64)
-        to_base, table = distances(prints)
-        relative = (table - to_base[:, None, None]).astype(np.uint8)
-        words = np.ascontiguousarray(relative).reshape(len(prints), len(_WIDTHS), -1).view(np.uint64)
-        ranges = at.pair(words[:, :, 0], words[:, :, 1])
-        for c, choice in enumerate(_CHOICES):
-            key = np.full(len(prints), c, dtype=np.uint64)
-            for g in choice:
-                key = at.pair(key, ranges[:, g])
+        for key in PIVOTS.keys(prints):
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0), batch.column(1)], names=["key", "print", "doc_id"])
 
 
 def close_pairs(key: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the pairs of one key that differ in at most ``BITS`` bits."""
-    to_base, table = distances(prints)
+    to_base, table = PIVOTS.distances(prints)
     order = np.lexsort((to_base, key))
     key, prints, to_base, table = key[order], prints[order], to_base[order], table[order].reshape(len(order), -1)
     alive, step, left, right = np.arange(len(key)), 1, [], []
